@@ -61,7 +61,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     id stays null. A null item id is an item of its own. An item that repeats under several ids is found under each.
     """
     items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col).cast("string")).alias("words")).where(F.size("words") >= LEAST_WORDS)
-    items = saved(items.dropDuplicates(["item", "words"]).withColumn("no", F.xxhash64("item", "words")), "items")
+    # As many files as the benchmark has partitions: a shuffle would scatter a small table over all of its own.
+    parts = max(1, benchmark.rdd.getNumPartitions())
+    items = saved(items.dropDuplicates(["item", "words"]).withColumn("no", F.xxhash64("item", "words")).coalesce(parts), "items")
     short = sorted(r[0] for r in items.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect())  # lengths below SPAN
     masks = dict(enumerate(MASKS)) | {100 + n: tuple(range(n)) for n in short}
     fits = F.size("words") >= SPAN
@@ -70,7 +72,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     for n in short:
         whole = items.where(F.size("words") == n).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
         long_seeds = long_seeds.unionByName(whole.select("no", F.lit(0).alias("j"), seed(F.col("hashes"), F.lit(0), masks[100 + n], 100 + n).alias("seed")))
-    seeds = saved(long_seeds.distinct(), "seeds")
+    seeds = saved(long_seeds.distinct().coalesce(parts), "seeds")
     few = seeds.count() <= BROADCAST_SEEDS
     small = F.broadcast if few else (lambda x: x)
     rows = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col).cast("string")).alias("words")).where(F.size("words") >= LEAST_WORDS)
@@ -89,8 +91,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     first = F.greatest(F.lit(0), F.least(F.col("j") - F.floor((size - SPAN) / 2).cast("int"), n - size))
     hits = hits.withColumn("window", size).withColumn("matched", agreement(F.col("words"), F.col("start"), F.col("item_words"), first, F.col("window")))
     hits = hits.where(F.col("matched") >= F.ceil(F.lit(SHARE) * F.col("window"))).select("id", "item", F.size("item_words").alias("item_words"), "matched", "window", "start")
-    best = hits.groupBy("id", "item").agg(F.max(F.struct("matched", (-F.col("start")).alias("s"), "window", "item_words")).alias("b"))
-    return best.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), F.col("b.item_words").cast("bigint").alias("item_words"), F.col("b.matched").cast("bigint").alias("matched"), F.col("b.window").cast("bigint").alias("window"), (-F.col("b.s")).cast("bigint").alias("start"))
+    # The largest number of matches and then the least start in one long, so that the aggregate's buffer is plain numbers.
+    code = F.col("matched").cast("bigint") * (1 << 33) + ((1 << 32) - F.col("start").cast("bigint"))
+    best = hits.groupBy("id", "item").agg(F.max(code).alias("code"), F.max("window").alias("window"), F.max("item_words").alias("item_words"))
+    matched, start = F.shiftright("code", 33), F.lit(1 << 32) - F.col("code").bitwiseAND(F.lit((1 << 33) - 1))
+    return best.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), F.col("item_words").cast("bigint").alias("item_words"), matched.alias("matched"), F.col("window").cast("bigint").alias("window"), start.alias("start"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
