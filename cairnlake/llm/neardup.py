@@ -125,7 +125,8 @@ def full_sets(df: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     rows = df.select(F.col(id_col).cast("bigint").alias("node"), text_of(text_col).alias("text"))
-    return rows.join(nodes, "node", "left_semi").mapInArrow(run, "node bigint, shingles array<bigint>")
+    # Always a merge join: whether few or many documents are asked for, texts are shuffled once and no table grows into a broadcast.
+    return rows.join(nodes.hint("merge"), "node", "left_semi").mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
 def estimate(a: Column, b: Column, hashes: int = HASHES, bits: int = BITS) -> Column:
@@ -182,27 +183,40 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
         return both.where(sizes & (estimate(F.col("low_a"), F.col("low_b")) >= least)).select("a", "b").distinct()
 
+    # The full sets of all documents that share a bucket: one shuffle of texts, used twice.
+    sets = saved(full_sets(df, id_col, text_col, member.select("node").distinct()), "sets")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = saved(full_sets(df, id_col, text_col, wanted), "sets")
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         both = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sum"))
-        return both.where(F.col("common") * 100 >= (F.col("sum") - F.col("common")) * percent).select("a", "b")
+        return both.where(F.col("common") * 100 >= (F.col("sum") - F.col("common")) * percent).select("a", "b").distinct()
 
     ordered = [F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")]
     first = saved(confirmed(likely(member.where("node <> leader").select(*ordered).distinct())), "links")
     found = components(first)
 
-    # Buckets that still hold several components.
+    # Buckets that still hold several components. A shingle that no other document in them has is common to no pair: the
+    # rest of the smaller set bounds the intersection, exactly. The join counts the intersection itself, on 32-bit hashes of
+    # the rest (one is added for a collision within a set), so that only pairs about to be confirmed leave it.
     placed = member.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     most = placed.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "c")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
-    placed = saved(placed.join(most.select("key", F.col("x.c").alias("main")), "key").join(low, "node"), "placed")
+    placed = saved(placed.join(most.select("key", F.col("x.c").alias("main")), "key"), "placed")
+    inside = sets.join(placed.select("node").distinct(), "node", "left_semi")
+    single = inside.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+    own = single.groupBy("node").agg(F.collect_list("s").alias("own"))  # part of one document's set
+    rest = F.when(F.col("own").isNull(), F.col("shingles")).otherwise(F.array_except("shingles", "own"))
+    rest = inside.join(own, "node", "left").join(low, "node").select("node", "low", "n", F.transform(rest, lambda s: F.hash(s)).alias("rest"))
+    placed = placed.join(saved(rest, "rest"), "node")
     outer = placed.where("c <> main").alias("p")
     every = placed.alias("q")
+
+    def reach(common: Column) -> Column:
+        return common * 100 >= (F.col("p.n") + F.col("q.n") - common) * percent
+
     meets = (F.col("p.key") == F.col("q.key")) & (F.col("p.c") != F.col("q.c")) & ((F.col("q.c") == F.col("q.main")) | (F.col("p.node") < F.col("q.node")))
-    meets &= F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent
+    meets &= reach(F.least(F.size("p.rest"), F.size("q.rest")))
     meets &= estimate(F.col("p.low"), F.col("q.low")) >= least
+    meets &= reach(F.size(F.array_intersect("p.rest", "q.rest")) + 1)
     more = outer.join(every, meets).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
     second = saved(confirmed(more), "links")
     if second.head(1):
