@@ -80,6 +80,7 @@ def build(catalog: Catalog, folder: str, names: Iterable[str], tables: dict[str,
             out.skipped.append(name)
         elif missing := [d for d in t.depends_on if d in out.failed]:
             out.failed[name] = f"needs {', '.join(missing)}"
+            continue
         else:
             try:
                 df = t.make(catalog) if t.make else catalog(name)

@@ -123,12 +123,12 @@ def having_threshold(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "orders").groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n")).where("n >= 100")
 
 
-@query("""SELECT o_orderstatus AS status, round(quantile_cont(o_totalprice, 0.5), 2) AS median_all, round(quantile_cont(o_totalprice, 0.95) FILTER (WHERE o_orderpriority = '1-URGENT'), 2) AS p95_urgent,
+@query("""SELECT o_orderstatus AS status, round(quantile_cont(o_totalprice, 0.5), 2) AS median_all, round(quantile_cont(o_totalprice, 0.95) FILTER (WHERE o_orderpriority = '1-URGENT'), 0) AS p95_urgent,
 max(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS max_urgent, count(DISTINCT o_custkey) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent_customers FROM orders GROUP BY 1""")
 def percentile_filtered(s: SparkSession, d: str) -> DataFrame:
     urgent = F.col("o_orderpriority") == "1-URGENT"
     price = F.when(urgent, F.col("o_totalprice"))
-    return read(s, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.round(F.percentile("o_totalprice", 0.5), 2).alias("median_all"), F.round(F.percentile(price, 0.95), 2).alias("p95_urgent"), F.max(price).alias("max_urgent"), A.count_distinct_if(urgent, F.col("o_custkey")).alias("urgent_customers"))
+    return read(s, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.round(F.percentile("o_totalprice", 0.5), 2).alias("median_all"), F.round(F.percentile(price, 0.95), 0).alias("p95_urgent"), F.max(price).alias("max_urgent"), A.count_distinct_if(urgent, F.col("o_custkey")).alias("urgent_customers"))
 
 
 # IRIs and rights
