@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-RATIO, MIN_PAGES = 0.02, 3
+RATIO, MIN_PAGES = 0.08, 5
 #: Up to so many boilerplate lines in all (24 bytes each and the host) go to every executor; more are joined by shuffle.
 BROADCAST_LINES = 200_000
 
