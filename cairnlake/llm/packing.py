@@ -62,12 +62,12 @@ def pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, vocabulary:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, made, ids_of = TaskContext.get().partitionId(), Tally(), encoder(vocabulary).ids
+        part, made, many = TaskContext.get().partitionId(), Tally(), encoder(vocabulary).many
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = ids_of(text) + end
+            for i, found in enumerate(many(batch.column(1))):
+                ids = found.tobytes() + end
                 for start, size, k in cuts(len(ids) // 4, capacity):
                     rows.append((i, start, size, crc32(ids[4 * start : 4 * (start + size)]), len(ids) // 4, k, part, made[k]))
                     made[k] += 1

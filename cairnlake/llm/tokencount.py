@@ -12,24 +12,22 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import TYPE_CHECKING
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .tokens import Words, default_vocabulary
+from .tokens import Words, byte_names, default_vocabulary
+
+if TYPE_CHECKING:
+    import pyarrow as pa
 
 # Fixed value: the splitting pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def byte_names() -> list[str]:
-    """The character that stands for each byte: itself if printable in Latin-1, else 256 and up in order."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
-
-
 class Counter:
     """count(text): tokens of a whole text under a byte-level BPE vocabulary file."""
 
@@ -47,7 +45,7 @@ class Counter:
         self.added = tuple(x["content"] for x in spec["added_tokens"])
         self.at_added = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.pieces = regex.compile(SPLIT).findall
-        self.words = Words(self.of_part, self.of_part, self.added)
+        self.words = Words(lambda x: self.of_piece(x.encode()), self.of_part, self.added)
 
     def of_piece(self, data: bytes) -> int:
         n = len(data)
@@ -80,12 +78,21 @@ class Counter:
         """Tokens of a text without added tokens."""
         return sum(self.of_piece(x.encode()) for x in self.pieces(text))
 
-    def count(self, text: str) -> int:
-        values = self.words(text)
-        if values is not None:
-            return sum(values)
+    def many(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text of an Arrow array of strings without nulls."""
+        out = np.zeros(len(texts), np.int64)
+        for row, odd, offsets, which, values in self.words.cut(texts):
+            sums = np.concatenate([[0], np.cumsum(np.array(values, np.int64)[which])])
+            n = len(offsets) - 1
+            out[row : row + n] = sums[offsets[1:]] - sums[offsets[:-1]]
+            for i in np.flatnonzero(np.array(odd.to_pylist(), bool)):
+                out[row + i] = self.of_text(texts[row + int(i)].as_py())
+        return out
+
+    def of_text(self, text: str) -> int:
+        """Tokens of any text, added tokens counted as one each."""
         parts = self.at_added.split(text)
-        return len(parts) - 1 + sum(sum(v) if (v := self.words(x)) is not None else self.of_part(x) for x in parts)
+        return len(parts) - 1 + sum(map(self.of_part, parts))
 
 
 @lru_cache(maxsize=2)
@@ -106,15 +113,13 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        count = counter(path).count
+        count = counter(path).many
         for batch in batches:
-            sizes, counts = [], []
-            for text in batch.column(1).to_pylist():
-                sizes.append(len(text.encode()))
-                counts.append(count(text))
-            n = pa.array(counts, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), n, pa.array([x > limit for x in counts], pa.bool_())], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
+            counts = count(batch.column(1))
+            sizes = pc.binary_length(batch.column(1)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(counts), pa.array(counts > limit)], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
     rows = df.select(F.col(id_col), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, f"`{id_col}` {kind.simpleString()}, n_bytes bigint, n_tokens bigint, over_limit boolean")

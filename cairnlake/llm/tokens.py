@@ -1,22 +1,39 @@
-"""Token ids of whole texts, by the tokenizers library, with a memory of words.
+"""Token ids of whole texts, by the tokenizers library, each different piece of a batch once.
 
 A byte-level BPE never joins symbols across the pieces that its splitting pattern
-makes. Where single spaces and newlines are the only white space, each of them
-starts a piece, so the ids of a text are those of its words put together, and the
-library need encode a word only once per worker. Any other text goes to the library whole.
+makes. Where single spaces and newlines are the only white space of a text, each of them
+starts a piece, so the ids of the text are those of its words put together. Such texts are cut there
+with Arrow, a batch's different words go to the library (or come from the memory of the worker), and
+NumPy puts the ids together. Any other text goes to the library whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from typing import Any
+from typing import TYPE_CHECKING, Any
 
-#: Words that a worker remembers, some 150 MB.
-MEMO_WORDS = 600_000
-#: Latin letters with marks behind them: two pieces.
-MARKED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?|*&%$#)]+)").fullmatch
+import numpy as np
+
+if TYPE_CHECKING:
+    import pyarrow as pa
+
+#: Pieces that a worker remembers (some 200 MB), bytes of text that are cut at once, and words whose ids are put together at once.
+MEMO_WORDS, CHUNK_BYTES, GATHER_WORDS = 1_000_000, 24_000_000, 1_000_000
+CUT = "\x00"
+#: White space other than single spaces and newlines between words, and the sign that cuts.
+NOT_PLAIN = r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Latin letters or none and then marks or none, after a space or not: a piece each.
+SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)?([.,;:!?|*&%$#)]*)").fullmatch
+
+
+def byte_names() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable in Latin-1, else 256 and up in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
 class Memo(dict):
@@ -25,64 +42,101 @@ class Memo(dict):
     def __init__(self, value: Callable[[str], Any], most: int = MEMO_WORDS):
         super().__init__()
         self.value, self.most, self.misses = value, most, 0
-        self.parts: Callable[[str], Any] = lambda word: None
 
     def __missing__(self, word: str) -> Any:
-        if out := self.parts(word):
-            return out
         out = self.value(word)
-        self.misses += 1
-        if self.misses > 10 * self.most:
-            self.clear()
-            self.misses = 0
-        if len(self) < self.most and len(word) <= 64:
-            self[word] = out
+        if len(self) < self.most:
+            if len(word) <= 64:
+                self[word] = out
+        else:
+            self.misses += 1
+            if self.misses > 10 * self.most:
+                self.clear()
+                self.misses = 0
         return out
 
 
 class Words:
-    """Splits plain texts into words; value() gives what a piece of text is worth, whole() the parts of any other text."""
-
-    def __init__(self, value: Callable[[str], Any], whole: Callable[[str], Any], never: tuple[str, ...] = ()):
-        marks = Memo(value, MEMO_WORDS // 8)
-        self.first, self.later = Memo(value, MEMO_WORDS // 8), Memo(lambda w: value(" " + w))
-        self.later.parts = lambda w: (m := MARKED(w)) and self.later[m[1]] + marks[m[2]]
-        self.newline, self.whole, self.never = value("\n"), whole, never
-
-    def __call__(self, text: str) -> list | None:
-        """The values of a text's words in order; None where the text isn't plain."""
-        if any(x in text for x in self.never):
-            return None
-        out: list = []
-        first, later = self.first, self.later.__getitem__
-        for line in text.split("\n"):
-            words = line.split(" ")
-            if words != line.split():
-                return None
-            if out:
-                out.append(self.newline)
-            head, *rest = words
-            out.append(first[head])
-            out.extend(map(later, rest))
+    """Cuts plain texts into words and gives their values: piece() of a single piece, value() of any text; values can be added."""
+
+    def __init__(self, piece: Callable[[str], Any], value: Callable[[str], Any], never: tuple[str, ...] = ()):
+        self.memo, self.value, self.never = Memo(piece), value, never
+
+    def of(self, words: list[str]) -> list:
+        out, memo = [], self.memo
+        for w in words:
+            if (v := memo.get(w)) is None:
+                m = SIMPLE(w)
+                if m is None:
+                    v = self.value(w)
+                elif m[1] and m[2]:
+                    v = memo[m[1]] + memo[m[2]]
+                else:
+                    v = memo[w]
+            out.append(v)
         return out
 
+    def cut(self, texts: pa.Array) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, list]]:
+        """For chunks of texts: the first row, which rows are plain, where their words begin and end, each word's number, the different words' values.
+
+        Rows that aren't plain have no words.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.zeros(0)
+        row = 0
+        while row < len(texts):
+            end = max(row + 1, int(np.searchsorted(sizes, (sizes[row - 1] if row else 0) + CHUNK_BYTES)))
+            part = texts.slice(row, end - row)
+            odd = pc.match_substring_regex(part, NOT_PLAIN)
+            for x in self.never:
+                odd = pc.or_(odd, pc.match_substring(part, x))
+            odd = pc.or_(odd, pc.equal(part, ""))
+            marked = pc.replace_substring(pc.replace_substring(pc.if_else(odd, "", part), " ", CUT + " "), "\n", CUT + "\n" + CUT)
+            lists = pc.split_pattern(marked, CUT)
+            words = lists.flatten().dictionary_encode()
+            if isinstance(words, pa.ChunkedArray):
+                words = words.combine_chunks()
+            yield row, odd, np.asarray(lists.offsets), np.asarray(words.indices), self.of(words.dictionary.to_pylist())
+            row = end
+
 
 class Encoder:
-    """ids(text): token ids as little-endian unsigned 32-bit integers in bytes."""
+    """Token ids as unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         encode = self.tokenizer.encode
-        raw = lambda text: np.array(encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.raw = raw = lambda text: np.array(encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         added = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
-        self.raw, self.words = raw, Words(raw, raw, added)
-
-    def ids(self, text: str) -> bytes:
-        values = self.words(text)
-        return self.raw(text) if values is None else b"".join(values)
+        of_piece, names = self.tokenizer.model.tokenize, dict(enumerate(byte_names()))
+
+        def piece(text: str) -> bytes:
+            # A lone piece needs no splitting: the library's model takes it at once, in its names of bytes.
+            text = text.replace(" ", names[32]) if text.isascii() else text.encode().decode("latin-1").translate(names)
+            return array("I", [x.id for x in of_piece(text)]).tobytes()
+
+        self.words = Words(piece, raw, added)
+
+    def many(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; texts is an Arrow array of strings without nulls."""
+        for row, odd, offsets, which, values in self.words.cut(texts):
+            lengths = np.fromiter(map(len, values), np.int32, len(values)) // 4
+            flat, starts = np.frombuffer(b"".join(values), "<u4"), np.cumsum(lengths, dtype=np.int32) - lengths
+            others, n, i = odd.to_pylist(), len(offsets) - 1, 0
+            while i < n:
+                j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + GATHER_WORDS)) - 1)
+                words = which[offsets[i] : offsets[j]]
+                each = lengths[words]
+                ends = np.cumsum(each, dtype=np.int32)
+                ids = flat[np.repeat(starts[words] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
+                at = np.concatenate([[0], ends])[offsets[i : j + 1] - offsets[i]].tolist()
+                for k in range(i, j):
+                    yield np.frombuffer(self.raw(texts[row + k].as_py()), "<u4") if others[k] else ids[at[k - i] : at[k - i + 1]]
+                i = j
 
 
 @lru_cache(maxsize=2)

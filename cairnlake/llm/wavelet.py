@@ -37,20 +37,20 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, tokens: np.ndarray) -> WaveletMatrix:
-        symbols = np.unique(tokens).astype("<u4")
+        symbols = np.flatnonzero(np.bincount(tokens)).astype("<u4")
         depth = max(1, int(len(symbols) - 1).bit_length())
         table = np.zeros(int(symbols[-1]) + 1 if len(symbols) else 1, np.uint16 if depth <= 16 else np.uint32)
         table[symbols] = np.arange(len(symbols))
         seq, planes = table[tokens], []
         for shift in range(depth - 1, -1, -1):
-            ones = (seq >> shift) & 1 == 1
+            ones = (seq & seq.dtype.type(1 << shift)).astype(bool)
             padded = np.zeros(-(-len(seq) // BLOCK) * BLOCK // 8, np.uint8)
             bits = np.packbits(ones, bitorder="little")
             padded[: len(bits)] = bits
             words = padded.view("<u8")
             per_block = np.bitwise_count(words).reshape(-1, BLOCK // 64).sum(1, dtype=np.int64)
-            planes.append((int(len(seq) - ones.sum()), words, np.concatenate([[0], np.cumsum(per_block)]).astype("<u4")))
-            seq = np.concatenate([seq[~ones], seq[ones]])
+            planes.append((len(seq) - int(np.count_nonzero(ones)), words, np.concatenate([[0], np.cumsum(per_block)]).astype("<u4")))
+            seq = np.concatenate([np.compress(~ones, seq), np.compress(ones, seq)])
         return cls(len(tokens), symbols, planes)
 
     def _ones(self, level: int, at: np.ndarray) -> np.ndarray:
@@ -126,7 +126,8 @@ class WaveletMatrix:
         for shift, (zeros, words, _) in enumerate(reversed(self.planes)):
             ones = np.unpackbits(words.view(np.uint8), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(rank)
-            above[~ones], above[ones] = rank[:zeros], rank[zeros:] | rank.dtype.type(1 << shift)
+            above[np.flatnonzero(~ones)] = rank[:zeros]
+            above[np.flatnonzero(ones)] = rank[zeros:] | rank.dtype.type(1 << shift)
             rank = above
         return self.symbols[rank]
 
@@ -178,7 +179,7 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
 
         store, root = fs.FileSystem.from_uri(path)
-        part, ids_of, end = TaskContext.get().partitionId(), encoder(vocabulary).ids, END_ID.to_bytes(4, "little")
+        part, many, end = TaskContext.get().partitionId(), encoder(vocabulary).many, END_ID.to_bytes(4, "little")
         rows: list[tuple] = []
         ids: list[int | None] = []
         parts: list[bytes] = []
@@ -197,9 +198,9 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             parts.clear()
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, found in zip(batch.column(0).to_pylist(), many(batch.column(1)), strict=True):
                 ids.append(i)
-                parts.append(ids_of(text) + end)
+                parts.append(found.tobytes() + end)
                 held += len(parts[-1]) // 4
                 if held >= shard_tokens:
                     close()

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cairnlake.llm import packing, tokencount, wavelet
+from cairnlake.llm import packing, tokencount, tokens, wavelet
 from cairnlake.llm.tokens import Encoder, default_vocabulary
 
 ODD = ["", " ", "a", "  two  spaces ", "tab\tnew\n\nline\r\n", "<|endoftext|>", "x<|endoftext|> y<|endoftext|>", "don't we'll 12² ½ ªº", "é" * 50, "漢字 かな 😀　x", "\x1c\x85\xa0", "a" * 3000, "word " * 500, "trailing ", " leading", "a_b c-d (e) [f]", "12345 67", "I'm 'quoted' it's"]
@@ -24,20 +24,27 @@ def texts(spark, sf_dir):
 
 def noise(n, seed):
     rng = random.Random(seed)
-    letters = "ab 's\n\t,.!é²_1  'll<"
+    letters = "ab \x00's\n\t,.!é²_1  'll<"
     return ["".join(rng.choice(letters) if rng.random() < 0.9 else chr(rng.randrange(1, 0xD7FF)) for _ in range(rng.randrange(60))) for _ in range(n)]
 
 
-def test_encoder_equals_library(spark, sf_dir, library):
-    encoder = Encoder(default_vocabulary())
-    for text in [*ODD, *noise(800, 1), *texts(spark, sf_dir)]:
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:80])
+def test_encoder_equals_library(spark, sf_dir, library, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "GATHER_WORDS", 700)
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 50_000)
+    every = [*ODD, *noise(2000, 1), *texts(spark, sf_dir)]
+    for text, ids in zip(every, Encoder(default_vocabulary()).many(pa.array(every)), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:80])
+    assert list(Encoder(default_vocabulary()).many(pa.array([], pa.string()))) == []
 
 
 def test_counts_equal_library(spark, sf_dir, library):
-    counter = tokencount.Counter(default_vocabulary())
-    for text in [*ODD, *noise(800, 2), *texts(spark, sf_dir)]:
-        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text[:80])
+    import pyarrow as pa
+
+    every = [*ODD, *noise(2000, 2), *texts(spark, sf_dir)]
+    for text, n in zip(every, tokencount.Counter(default_vocabulary()).many(pa.array(every)), strict=True):
+        assert n == len(library.encode(text, add_special_tokens=False).ids), repr(text[:80])
 
 
 def rows_of(spark, values):
