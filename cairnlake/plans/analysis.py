@@ -1,0 +1,51 @@
+"""What a query's plan is made of, and where its size was misjudged."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+
+#: More of these in one plan are worth a look.
+MANY = {"join": 15, "exchange": 20, "sort": 15, "python": 4, "generate": 4}
+KINDS = {
+    "join": r"(?:SortMerge|ShuffledHash|BroadcastHash|BroadcastNestedLoop)Join|CartesianProduct",
+    "exchange": r"(?<!Broadcast)(?<!Reused)Exchange",
+    "broadcast": r"BroadcastExchange",
+    "aggregate": r"(?:Hash|Sort|ObjectHash)Aggregate",
+    "window": r"Window(?:GroupLimit)?",
+    "sort": r"Sort(?=\s*\[)",
+    "python": r"ArrowEvalPython|BatchEvalPython|MapInArrow|MapInPandas|FlatMap(?:Co)?Groups\w*",
+    "generate": r"Generate",
+    "scan": r"FileScan|Scan ExistingRDD|LocalTableScan|InMemoryTableScan",
+}
+#: Rows found over rows foreseen beyond which an estimate counts as wrong, either way.
+WRONG = 10.0
+
+
+@dataclass
+class Analysis:
+    operators: Counter
+    warnings: list[str] = field(default_factory=list)
+
+
+def analyse(df: DataFrame) -> Analysis:
+    """Operators of the physical plan by kind, and what looks costly in it; the query isn't run."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    nodes = [m[1] for line in lines if (m := re.match(r"[\s:+\-*()\d]*([A-Z].*)", line))]
+    found: Counter = Counter({kind: sum(bool(re.match(pattern, n)) for n in nodes) for kind, pattern in KINDS.items()})
+    out = Analysis(+found)
+    out.warnings += [f"{found[k]} {k} operators" for k, most in MANY.items() if found[k] > most]
+    out.warnings += ["a join without an equal key" for n in nodes if re.match("BroadcastNestedLoopJoin|CartesianProduct", n)]
+    out.warnings += ["a scan of files without a filter pushed down" for n in nodes if n.startswith("FileScan") and "PushedFilters: []" in n and "PartitionFilters: []" in n and found["join"] == 0 and found["aggregate"] == 0]
+    return out
+
+
+def misjudged(df: DataFrame) -> tuple[int, int | None, bool]:
+    """(rows found, rows foreseen or None, whether they differ by more than WRONG); runs the query."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+    foreseen, rows = int(str(stats.get())) if stats.isDefined() else None, df.count()
+    wrong = foreseen is not None and not 1 / WRONG <= (rows + 1) / (foreseen + 1) <= WRONG
+    return rows, foreseen, wrong

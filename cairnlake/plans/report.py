@@ -162,9 +162,9 @@ def share(test: Column) -> Column:
     return percent(F.count_if(test), F.count("*"))
 
 
-def with_total(t: DataFrame, total: DataFrame, name: str) -> DataFrame:
-    """t with the number of rows of total in every row; total is one row."""
-    return t.crossJoin(F.broadcast(total.agg(F.count("*").alias(name))))
+def with_total(t: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """t with the number of another table's rows in every row, as a scalar subquery."""
+    return t.withColumn(name, rows.agg(F.count("*")).scalar())
 
 
 def resolution(df: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ SELECT CAST(sum(n) AS BIGINT) AS resources, (SELECT count(*) FROM orders) AS tot
 def per_object_density(s: SparkSession, d: str) -> DataFrame:
     p = read(s, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
     out = p.agg(F.sum("n").alias("resources"), F.count("*").alias("items_with_resources"), F.round(F.avg("n"), 2).alias("avg_n"), F.percentile("n", 0.5).alias("median_n"), F.percentile("n", 0.9).alias("p90_n"), F.max("n").alias("max_n"))
-    return out.crossJoin(F.broadcast(read(s, d, "orders").agg(F.count("*").alias("total_items"))))
+    return out.withColumn("total_items", read(s, d, "orders").agg(F.count("*")).scalar())
 
 
 @query(f"""WITH p AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)
@@ -500,6 +500,23 @@ def length_and_regex(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "documents").where((F.length("text") >= 200) & F.col("text").rlike(r"[.!?]\z")).select("doc_id", F.length("text").cast("bigint").alias("length"))
 
 
+@query("SELECT event_type, avg(TRY_CAST(nullif(regexp_extract(props, '[0-9]+'), '') AS BIGINT)) AS average, min(value) AS least, max(value) AS most FROM events GROUP BY 1")
+def cast_average(s: SparkSession, d: str) -> DataFrame:
+    number = F.nullif(F.regexp_extract("props", "[0-9]+", 0), F.lit("")).try_cast("bigint")
+    return read(s, d, "events").groupBy("event_type").agg(F.avg(number).alias("average"), F.min("value").alias("least"), F.max("value").alias("most"))
+
+
+@query("SELECT url, page_id FROM pages WHERE url SIMILAR TO 'https?://[a-z]+\\.[a-z.]+/(en|de)/.*'")
+def similar_to(s: SparkSession, d: str) -> DataFrame:
+    return read(s, d, "pages").where(F.col("url").rlike(r"^https?://[a-z]+\.[a-z.]+/(en|de)/.*$")).select("url", "page_id")
+
+
+@query("SELECT o_orderkey, split_part(o_orderpriority, '-', 2) AS word, position('-' IN o_orderpriority) AS at, length(o_orderpriority) AS n, lower(o_orderpriority) AS low, coalesce(nullif(o_orderstatus, 'F'), 'none') AS status FROM orders")
+def string_functions(s: SparkSession, d: str) -> DataFrame:
+    p = F.col("o_orderpriority")
+    return read(s, d, "orders").select("o_orderkey", F.split_part(p, F.lit("-"), F.lit(2)).alias("word"), F.instr(p, "-").cast("bigint").alias("at"), F.length(p).cast("bigint").alias("n"), F.lower(p).alias("low"), F.coalesce(F.nullif("o_orderstatus", F.lit("F")), F.lit("none")).alias("status"))
+
+
 # Graph patterns
 
 

@@ -24,7 +24,7 @@ def unescaped(text: Column) -> Column:
     def one(token: Column) -> Column:
         code = F.conv(F.substring(token, 3, 8), 16, 10).cast("int")
         # decode from UTF-32 gives characters beyond the first plane as well
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32BE")
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         return F.coalesce(F.element_at(simple, token), F.when(token.rlike(r"^\\[uU]"), char), F.when(token == r"\\", "\\"), token)
 
     tokens = F.regexp_extract_all(text, F.lit(r"(\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+)"), F.lit(1))

@@ -77,3 +77,13 @@ def test_first_seen(spark, tmp_path, sf_dir):
     q = first_seen(stream, "ts", ["user_id", "event_type"]).writeStream.format("memory").queryName("seen").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("seen").count() == e.select("user_id", "event_type").distinct().count()
+
+
+def test_plan_analysis(spark, sf_dir):
+    from cairnlake.plans.analysis import analyse, misjudged
+
+    o, li = spark.read.parquet(f"{sf_dir}/orders.parquet"), spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = analyse(o.join(li, o["o_orderkey"] == li["l_orderkey"]).groupBy("o_orderstatus").count())
+    assert plan.operators["join"] == 1 and plan.operators["scan"] == 2 and plan.operators["aggregate"] == 2 and not plan.warnings
+    assert "a join without an equal key" in analyse(o.join(li, o["o_orderkey"] < li["l_orderkey"])).warnings
+    assert misjudged(spark.range(100)) == (100, 100, False)
