@@ -34,10 +34,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/cairnlake/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, outlives lost executors."""
+def saved(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, outlives lost executors.
+
+    parts: at most so many files, for tables much smaller than the shuffle that makes them.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from .common import saved, text_of
 from .components import components
-from .tokens import Memo
 
 WORDS, HASHES, ROWS, BITS, SIGMAS = 5, 96, 4, 4, 5.0
 
@@ -45,8 +44,7 @@ class Shingles:
     def __init__(self, words: int = WORDS):
         import xxhash
 
-        self.words = words
-        self.hash = Memo(xxhash.xxh3_64_intdigest, 300_000).__getitem__
+        self.words, self.hash = words, xxhash.xxh3_64_intdigest
 
     def set_of(self, text: str) -> np.ndarray:
         # On bytes, lower() changes A-Z alone and split() cuts at space and 0x09-0x0D alone.
@@ -166,12 +164,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     An empty table gives an empty result.
     """
     docs = saved(sketches(df, id_col, text_col), "sketches")
+    # The tables below are smaller than the sketches, or little larger: as many files as those are read in.
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, docs.rdd.getNumPartitions())
     full = docs.where("set_key is not null and id is not null")
-    nodes = saved(full.groupBy("set_key").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("low").alias("low"), F.first("n_shingles").alias("n")), "nodes")
+    nodes = saved(full.groupBy("set_key").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("low").alias("low"), F.first("n_shingles").alias("n")), "nodes", parts)
 
     member = nodes.select("node", F.explode("bands").alias("key"))
     leaders = member.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("h"), F.col("node").alias("leader"))).alias("x"), F.count("*").alias("size")).where("size > 1")
-    member = saved(member.join(leaders.select("key", F.col("x.leader").alias("leader")), "key"), "buckets")
+    member = saved(member.join(leaders.select("key", F.col("x.leader").alias("leader")), "key"), "buckets", parts)
     least, low = least_estimate(percent), nodes.select("node", "low", "n")
 
     def side(name: str) -> DataFrame:
@@ -192,21 +192,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return both.where(F.col("common") * 100 >= (F.col("sum") - F.col("common")) * percent).select("a", "b").distinct()
 
     ordered = [F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")]
-    first = saved(confirmed(likely(member.where("node <> leader").select(*ordered).distinct())), "links")
-    found = components(first)
+    first = saved(confirmed(likely(member.where("node <> leader").select(*ordered).distinct())), "links", parts)
+    found = components(first, parts)
 
     # Buckets that still hold several components. A shingle that no other document in them has is common to no pair: the
     # rest of the smaller set bounds the intersection, exactly. The join counts the intersection itself, on 32-bit hashes of
     # the rest (one is added for a collision within a set), so that only pairs about to be confirmed leave it.
     placed = member.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     most = placed.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "c")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
-    placed = saved(placed.join(most.select("key", F.col("x.c").alias("main")), "key"), "placed")
+    placed = saved(placed.join(most.select("key", F.col("x.c").alias("main")), "key"), "placed", parts)
     inside = sets.join(placed.select("node").distinct(), "node", "left_semi")
     single = inside.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
     own = single.groupBy("node").agg(F.collect_list("s").alias("own"))  # part of one document's set
     rest = F.when(F.col("own").isNull(), F.col("shingles")).otherwise(F.array_except("shingles", "own"))
-    rest = inside.join(own, "node", "left").join(low, "node").select("node", "low", "n", F.transform(rest, lambda s: F.hash(s)).alias("rest"))
-    placed = placed.join(saved(rest, "rest"), "node")
+    rest = inside.join(own, "node", "left").join(nodes.select("node", "low", "n", "bands"), "node").select("node", "low", "n", "bands", F.transform(rest, lambda s: F.hash(s)).alias("rest"))
+    placed = placed.join(saved(rest, "rest", parts), "node")
     outer = placed.where("c <> main").alias("p")
     every = placed.alias("q")
 
@@ -216,11 +216,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     meets = (F.col("p.key") == F.col("q.key")) & (F.col("p.c") != F.col("q.c")) & ((F.col("q.c") == F.col("q.main")) | (F.col("p.node") < F.col("q.node")))
     meets &= reach(F.least(F.size("p.rest"), F.size("q.rest")))
     meets &= estimate(F.col("p.low"), F.col("q.low")) >= least
+    # A pair that shares several buckets is counted in the first of them alone.
+    shared = F.array_position(F.zip_with("p.bands", "q.bands", lambda x, y: x == y), F.lit(True))
+    meets &= F.get("p.bands", shared.cast("int") - 1) == F.col("p.key")
     meets &= reach(F.size(F.array_intersect("p.rest", "q.rest")) + 1)
     more = outer.join(every, meets).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
-    second = saved(confirmed(more), "links")
+    second = saved(confirmed(more), "links", parts)
     if second.head(1):
-        found = components(first.unionByName(second))
+        found = components(first.unionByName(second), parts)
 
     label = nodes.join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("c"))
     names = [F.col("id").alias(id_col), "n_shingles"]
@@ -228,7 +231,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = docs.where("id is not null").join(label, "set_key", "left").select("id", "n_shingles", F.coalesce("c", "id").alias("c"))
     twice = placed.groupBy("id").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     if twice.head(1):
-        joined = components(placed.select(F.col("id").alias("a"), F.col("c").alias("b")))
+        joined = components(placed.select(F.col("id").alias("a"), F.col("c").alias("b")), parts)
         placed = placed.join(joined, placed["c"] == joined["node"], "left").select("id", "n_shingles", F.coalesce("component", "c").alias("c"))
     out = placed.select(*names, F.col("c").alias("component_id"), (F.col("c") == F.col("id")).alias("kept"))
     alone = docs.where("id is null").select(*names, F.lit(None).cast("bigint").alias("component_id"), F.lit(True).alias("kept"))
