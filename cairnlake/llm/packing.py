@@ -90,7 +90,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     by_class = Window.partitionBy("class")
     # One row for each task and class: where the task's pieces begin in the class, and how many the class has.
     counts = p.groupBy("class", "part").agg(F.max("at").alias("n")).withColumn("n", F.col("n") + 1)
-    counts = saved(counts.withColumn("before", F.sum("n").over(by_class.orderBy("part")) - F.col("n")).withColumn("all", F.sum("n").over(by_class)), "piece-counts")
+    counts = saved(counts.withColumn("before", F.sum("n").over(by_class.orderBy("part")) - F.col("n")).withColumn("all", F.sum("n").over(by_class)), "piece-counts", max(1, p.rdd.getNumPartitions()))
     k = F.col("class")
     firsts = counts.select("class", F.floor(F.col("all") / k).alias("full")).distinct()
     firsts = firsts.withColumn("first", F.sum("full").over(Window.orderBy("class")) - F.col("full"))  # a row per class, at most 100
