@@ -20,8 +20,8 @@ import numpy as np
 if TYPE_CHECKING:
     import pyarrow as pa
 
-#: Pieces that a worker remembers (some 200 MB), bytes of text that are cut at once, and words whose ids are put together at once.
-MEMO_WORDS, CHUNK_BYTES, GATHER_WORDS = 1_000_000, 24_000_000, 1_000_000
+#: Pieces that a worker remembers (some 170 MB), bytes of text that are cut at once, and words whose ids are put together at once.
+MEMO_WORDS, CHUNK_BYTES, GATHER_WORDS = 800_000, 12_000_000, 500_000
 CUT = "\x00"
 #: White space other than single spaces and newlines between words, and the sign that cuts.
 NOT_PLAIN = r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

@@ -98,7 +98,7 @@ class WaveletMatrix:
     def count(self, token: int, start: int = 0, stop: int | None = None) -> int:
         """Occurrences of a token among positions start to stop (without stop)."""
         a, b = self._span(token, start, self.n if stop is None else stop)
-        return b - a
+        return max(0, b - a)
 
     def _select(self, level: int, ones: bool, number: int) -> int:
         """Position of the bit `ones` that has `number` such bits before it."""
