@@ -161,11 +161,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least id that links reach, kept is true where that is the row's own id. A document without words
     has no shingles and no links. Rows that share an id are one document and linked; a row with a null id
     is linked with nothing, has a null component_id and is kept. Equal sets are always linked. Columns other than the two named take no part.
-    An empty table gives an empty result.
+    An empty table gives an empty result. df is read twice, for the sketches and for the full sets of candidates: give it
+    as a table.
     """
     docs = saved(sketches(df, id_col, text_col), "sketches")
-    # The tables below are smaller than the sketches, or little larger: as many files as those are read in.
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, docs.rdd.getNumPartitions())
+    # The tables below are smaller than the documents: no more files than those have partitions.
+    parts = max(1, df.rdd.getNumPartitions())
     full = docs.where("set_key is not null and id is not null")
     nodes = saved(full.groupBy("set_key").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("low").alias("low"), F.first("n_shingles").alias("n")), "nodes", parts)
 
