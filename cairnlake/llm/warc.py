@@ -21,7 +21,7 @@ from uuid import UUID
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNSEEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>", re.S | re.I)
+UNSEEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head|title)\b[^>]*>.*?</\1\s*>", re.S | re.I)
 BREAKS = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|main|aside|blockquote|pre|title|body|hr|dd|dt|dl|form|figure)\b[^>]*>", re.I)
 TAG = re.compile(r"<[A-Za-z/!?][^>]*>")
 SPACES, LINES = re.compile(r"[ \t\r\f\v ]+"), re.compile(r" ?\n[ \n]*")

@@ -15,12 +15,12 @@ class Plain(HTMLParser):
         self.words, self.links, self.hidden = [], [], 0
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in ("script", "style", "head", "noscript", "template")
+        self.hidden += tag in ("script", "style", "head", "noscript", "template", "title")
         if tag == "a" and dict(attrs).get("href") is not None:
             self.links.append(dict(attrs)["href"])
 
     def handle_endtag(self, tag):
-        self.hidden -= tag in ("script", "style", "head", "noscript", "template")
+        self.hidden -= tag in ("script", "style", "head", "noscript", "template", "title")
 
     def handle_data(self, data):
         if not self.hidden:
