@@ -511,10 +511,10 @@ def similar_to(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "pages").where(F.col("url").rlike(r"^https?://[a-z]+\.[a-z.]+/(en|de)/.*$")).select("url", "page_id")
 
 
-@query("SELECT o_orderkey, split_part(o_orderpriority, '-', 2) AS word, position('-' IN o_orderpriority) AS at, length(o_orderpriority) AS n, lower(o_orderpriority) AS low, coalesce(nullif(o_orderstatus, 'F'), 'none') AS status FROM orders")
+@query("SELECT o_orderkey, split_part(o_orderpriority, '-', 2) AS word, position('-' IN o_orderpriority) AS dash, length(o_orderpriority) AS n, lower(o_orderpriority) AS low, coalesce(nullif(o_orderstatus, 'F'), 'none') AS status FROM orders")
 def string_functions(s: SparkSession, d: str) -> DataFrame:
     p = F.col("o_orderpriority")
-    return read(s, d, "orders").select("o_orderkey", F.split_part(p, F.lit("-"), F.lit(2)).alias("word"), F.instr(p, "-").cast("bigint").alias("at"), F.length(p).cast("bigint").alias("n"), F.lower(p).alias("low"), F.coalesce(F.nullif("o_orderstatus", F.lit("F")), F.lit("none")).alias("status"))
+    return read(s, d, "orders").select("o_orderkey", F.split_part(p, F.lit("-"), F.lit(2)).alias("word"), F.instr(p, "-").cast("bigint").alias("dash"), F.length(p).cast("bigint").alias("n"), F.lower(p).alias("low"), F.coalesce(F.nullif("o_orderstatus", F.lit("F")), F.lit("none")).alias("status"))
 
 
 # Graph patterns

@@ -14,7 +14,8 @@ def test_query(spark, duck, sf_dir, name):
     if name not in ORACLE:
         assert len(set(columns)) == len(columns)
         return
-    found = duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE[name]})").fetchall()
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    found = duck.execute(f"SELECT {quoted} FROM ({ORACLE[name]})").fetchall()
     assert canonical(rows) == canonical(found)
 
 
