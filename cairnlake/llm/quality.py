@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-#: The model is fitted on at most so many labelled documents, those of least hash, and on so many lines of each.
-SAMPLE_DOCS, SAMPLE_LINES = 8_000, 48
+#: The model is fitted on at most so many labelled documents, those of least hash, and on all their lines, in chains of at most so many.
+SAMPLE_DOCS, CHAIN_LINES = 8_000, 48
 MARKS = b"#$%&*|!@^~=+<>{}[]\\/_"
 LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)) + b" "
 
@@ -82,36 +82,41 @@ def fit(texts: list[str], labels: list[int], steps: int = 150, rate: float = 0.1
     width = observed("")[0].shape[1]
     if not texts:
         return {"weights": np.zeros((width, 2)).tolist(), "move": np.zeros((2, 2)).tolist(), "mean": [0.0] * width, "spread": [1.0] * width}
-    found = [observed(t)[0][:SAMPLE_LINES] for t in texts]
-    lengths = np.array([len(x) for x in found])
-    flat = np.vstack(found)
-    mean, spread = flat.mean(0), flat.std(0)
-    constant = spread < 1e-9
+    found = [observed(t)[0].astype(np.float32) for t in texts]
+    lines = np.array([len(x) for x in found])
+    mean = sum(x.sum(0, dtype=np.float64) for x in found) / lines.sum()
+    spread = np.sqrt(sum(np.square(x - mean).sum(0) for x in found) / lines.sum())
+    constant = spread < 1e-6
     mean[constant], spread[constant] = 0.0, 1.0
-    order = np.argsort(lengths, kind="stable")
+    # A text of many lines is several chains, none of its lines left out.
+    chains = [(d, i, min(i + CHAIN_LINES, int(n))) for d, n in enumerate(lines) for i in range(0, int(n), CHAIN_LINES)]
+    chains.sort(key=lambda c: c[2] - c[1])
+    steps_of = np.bincount([d for d, _, _ in chains], [j - i - 1 for _, i, j in chains])  # moves within a document's chains
     batches = []
-    for part in np.array_split(order, max(1, len(order) // 500)):
-        most = lengths[part].max()
-        x, mask = np.zeros((len(part), most, width)), np.zeros((len(part), most), bool)
-        for i, d in enumerate(part):
-            x[i, : lengths[d]] = (found[d] - mean) / spread
-            mask[i, : lengths[d]] = True
-        batches.append((x, mask, np.array(labels)[part]))
+    for at in range(0, len(chains), 500):
+        part = chains[at : at + 500]
+        x, mask = np.zeros((len(part), part[-1][2] - part[-1][1], width), np.float32), np.zeros((len(part), part[-1][2] - part[-1][1]), bool)
+        for row, (d, i, j) in enumerate(part):
+            x[row, : j - i] = (found[d][i:j] - mean) / spread
+            mask[row, : j - i] = True
+        docs = np.array([d for d, _, _ in part])
+        batches.append((x, mask, np.array(labels)[docs], lines[docs], steps_of[docs]))
+    del found
     w, t = np.zeros((width, 2)), np.zeros((2, 2))
     m, v = np.zeros(width * 2 + 4), np.zeros(width * 2 + 4)
     for step in range(1, steps + 1):
         gw, gt = penalty * w, penalty * t
-        for x, mask, y in batches:
+        for x, mask, y, all_lines, all_moves in batches:
             p, moves, _ = marginals(x @ w, t, mask)
             gold = np.zeros((len(y), 2))
             gold[np.arange(len(y)), y] = 1.0
             # Each document weighs the same, however many lines it has.
-            share = (mask / mask.sum(1, keepdims=True))[:, :, None] / len(texts)
-            gw = gw + np.einsum("dlf,dls->fs", x, (p - gold[:, None, :]) * share)
+            share = (mask / all_lines[:, None])[:, :, None] / len(texts)
+            gw = gw + np.tensordot(x, (p - gold[:, None, :]) * share, ((0, 1), (0, 1)))
             n = np.maximum(mask.sum(1) - 1, 0)
             true = np.zeros((len(y), 2, 2))
             true[np.arange(len(y)), y, y] = n
-            gt = gt + ((moves - true) / np.maximum(n, 1)[:, None, None]).sum(0) / len(texts)
+            gt = gt + ((moves - true) / np.maximum(all_moves, 1)[:, None, None]).sum(0) / len(texts)
         grad = np.append(gw.ravel(), gt.ravel())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
