@@ -198,7 +198,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Buckets that still hold several components. A shingle that no other document in them has is common to no pair: the
     # rest of the smaller set bounds the intersection, exactly. The join counts the intersection itself, on 32-bit hashes of
-    # the rest (one is added for a collision within a set), so that only pairs about to be confirmed leave it.
+    # the rest (a set's hashes that collide within it are added), so that only pairs about to be confirmed leave it.
     placed = member.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     most = placed.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "c")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
     placed = saved(placed.join(most.select("key", F.col("x.c").alias("main")), "key"), "placed", parts)
@@ -207,6 +207,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own = single.groupBy("node").agg(F.collect_list("s").alias("own"))  # part of one document's set
     rest = F.when(F.col("own").isNull(), F.col("shingles")).otherwise(F.array_except("shingles", "own"))
     rest = inside.join(own, "node", "left").join(nodes.select("node", "low", "n", "bands"), "node").select("node", "low", "n", "bands", F.transform(rest, lambda s: F.hash(s)).alias("rest"))
+    rest = rest.withColumn("same", F.size("rest") - F.size(F.array_distinct("rest")))
     placed = placed.join(saved(rest, "rest", parts), "node")
     outer = placed.where("c <> main").alias("p")
     every = placed.alias("q")
@@ -220,7 +221,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # A pair that shares several buckets is counted in the first of them alone.
     shared = F.array_position(F.zip_with("p.bands", "q.bands", lambda x, y: x == y), F.lit(True))
     meets &= F.get("p.bands", shared.cast("int") - 1) == F.col("p.key")
-    meets &= reach(F.size(F.array_intersect("p.rest", "q.rest")) + 1)
+    meets &= reach(F.size(F.array_intersect("p.rest", "q.rest")) + F.least("p.same", "q.same"))
     more = outer.join(every, meets).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
     second = saved(confirmed(more), "links", parts)
     if second.head(1):
