@@ -66,9 +66,9 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     x = F.col(vector_col)
     fine = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     rows = df.where(F.col(id_col).isNotNull() & fine).select(F.col(id_col).cast("bigint").alias("id"), quantised(x, scale).alias("v")).distinct()
-    n, last = rows.select("id").agg(F.count("*").alias("n"), F.max("id")).first()
-    blocks = max(1, -(-(n or 0) // CANDIDATES))
-    query_blocks = max(1, -(-(n or 0) // (QUERIES * query_every)))
+    n, asked = rows.select("id").agg(F.count("*"), F.count_if(F.col("id") % query_every == 0)).first()
+    blocks = max(1, -(-n // CANDIDATES))
+    query_blocks = max(1, -(-asked // QUERIES))
     spread = lambda salt, most: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(most)).cast("int")
     each = lambda most: F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
     queries = rows.where(F.col("id") % query_every == 0).withColumn("qb", spread(1, query_blocks)).withColumn("cb", each(blocks))
