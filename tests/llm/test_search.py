@@ -153,6 +153,26 @@ def test_line_dedup_shuffled_equals_broadcast(spark, sf_dir, monkeypatch):
     assert sorted(map(str, linededup.drop_boilerplate(docs).collect())) == few
 
 
+def test_copies_make_no_boilerplate(spark):
+    word = lambda *k: "w" + "x".join(map(str, k))
+    line = lambda *k: " ".join(word(*k, i) for i in range(12))
+    copied = [line("copy", n) for n in range(10)]
+    menu = [line("menu", n) for n in range(12)]  # longer than the page's own text
+    rows = [f"{line('own', i)}\nLes.\n{line('more', i)}" if i % 4 == 0 else line("own", i) for i in range(120)]  # 30 of 500 pages: 6 %
+    rows += ["\n".join([*menu, line("under", i)]) for i in range(60)]
+    rows += ["\n".join(copied)] * 20
+    for i in range(300):  # near copies: a word changed in five of ten lines
+        text = [x.split() for x in copied]
+        for n in range(5):
+            text[(i + n * (1 + i % 3)) % 10][(i + n) % 12] = word("new", i, n)
+        rows.append("\n".join(map(" ".join, text)))
+    df = spark.createDataFrame([(i, "s", t) for i, t in enumerate(rows)], "doc_id bigint, source string, text string")
+    out = {r["doc_id"]: r["text"].split("\n") for r in linededup.drop_boilerplate(df).collect()}
+    assert not any("Les." in x for x in out.values())
+    assert all(out[i] == [line("under", i - 120)] for i in range(120, 180))
+    assert all(out[i] == rows[i].split("\n") for i in range(180, 500))
+
+
 def test_url_host(spark):
     df = spark.createDataFrame([("HTTP://U:p@Ex.COM:80/a",), ("x",), (None,)], "u string")
     assert [r[0] for r in df.select(linededup.url_host(F.col("u"))).collect()] == ["ex.com", "", None]
