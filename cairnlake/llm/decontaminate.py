@@ -3,9 +3,9 @@
 Texts become lower-case words of letters and digits. A mask reads some positions of a short
 stretch of words and skips the others, so that a changed word under a skipped position does no harm. The
 hashes of all benchmark items under all masks are joined with those at every
-position of every document. Around each hit the two texts are laid side by side: a window of
-WINDOW words of the item (all of a shorter item) holding the seed is compared word
-by word, and SHARE of its words must agree.
+position of every document. At each hit the two texts are laid side by side and compared word by
+word along the whole item: in the best window of WINDOW words of the item (all of a
+shorter item), wherever it lies, SHARE of the words must agree.
 """
 
 from __future__ import annotations
@@ -46,10 +46,21 @@ def positions(df: DataFrame, masks: dict[int, tuple[int, ...]]) -> DataFrame:
     return every.withColumn("seed", F.explode_outer(seeds_of(F.col("hashes"), F.col("at"), masks))).where("seed is not null").drop("hashes")
 
 
-def agreement(words: Column, start: Column, item: Column, first: Column, size: Column) -> Column:
-    """Words that agree between item[first : first + size] and the words from start + first on, if start may be negative."""
-    pick = F.sequence(first, first + size - 1)
-    return F.aggregate(pick, F.lit(0), lambda n, k: n + F.when(F.get(words, start + k) == F.get(item, k), 1).otherwise(0))
+def agreement(words: Column, start: Column, item: Column, size: Column) -> Column:
+    """The most words that agree in a window of size words of the item, if the item begins at word start, which may be negative."""
+    same = lambda k: F.when(F.get(words, start + k) == F.get(item, k), 1).otherwise(0)
+
+    def step(state: Column, k: Column) -> Column:
+        # Before the window is full its sum is a part of the first window's, so it can only be too small.
+        here = state["here"] + same(k) - F.when(k >= size, same(k - size)).otherwise(0)
+        return F.struct(here.alias("here"), F.greatest(state["best"], here).alias("best"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), F.struct(F.lit(0).alias("here"), F.lit(0).alias("best")), step, lambda state: state["best"])
+
+
+def follows(words: Column, start: Column, item: Column, j: Column) -> Column:
+    """Whether the six words from one before j on agree: then the fourth mask has a hit there, on the same diagonal."""
+    return F.coalesce(F.forall(F.sequence(j - 1, j + 4), lambda k: F.coalesce(F.get(words, start + k) == F.get(item, k), F.lit(False))), F.lit(False))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -88,8 +99,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         hits = light.join(rows, "row").join(item, "no")
     n = F.size("item_words")
     size = F.least(n, F.lit(WINDOW))
-    first = F.greatest(F.lit(0), F.least(F.col("j") - F.floor((size - SPAN) / 2).cast("int"), n - size))
-    hits = hits.withColumn("window", size).withColumn("matched", agreement(F.col("words"), F.col("start"), F.col("item_words"), first, F.col("window")))
+    # All hits of a diagonal give one comparison; of hits in a row the first is enough.
+    hits = hits.where(~follows(F.col("words"), F.col("start"), F.col("item_words"), F.col("j")))
+    hits = hits.withColumn("window", size).withColumn("matched", agreement(F.col("words"), F.col("start"), F.col("item_words"), F.col("window")))
     hits = hits.where(F.col("matched") >= F.ceil(F.lit(SHARE) * F.col("window"))).select("id", "item", F.size("item_words").alias("item_words"), "matched", "window", "start")
     # The largest number of matches and then the least start in one long, so that the aggregate's buffer is plain numbers.
     code = F.col("matched").cast("bigint") * (1 << 33) + ((1 << 32) - F.col("start").cast("bigint"))

@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 
 import numpy as np
@@ -194,3 +195,22 @@ def test_overlaps(spark, monkeypatch):
         assert sorted(found, key=str) == sorted(want, key=str)
     assert sorted(str(r["doc_id"]) for r in decontaminate.clean(docs, bench).collect()) == ["3", "4", "5", "6"]
     assert decontaminate.overlaps(docs.limit(0), bench).count() == decontaminate.overlaps(docs, bench.limit(0)).count() == 0
+
+
+def test_any_window_of_a_diagonal(spark):
+    rng = random.Random(3)
+    items = [[f"k{n}x{i}" for i in range(40)] for n in range(300)]
+    texts = [[f"z{n}x{i}" if i in changed else w for i, w in enumerate(item)] for n, item in enumerate(items) for changed in [set(rng.sample(range(40), 8))]]
+
+    def best(text, item):
+        same = [a == b for a, b in zip(text, item, strict=True)]
+        return max(sum(same[i : i + decontaminate.WINDOW]) for i in range(len(same) - decontaminate.WINDOW + 1))
+
+    def seeded(text, item):
+        return any(all(text[i + k] == item[i + k] for k in mask) for mask in decontaminate.MASKS for i in range(len(item) - max(mask)))
+
+    want = {n: best(t, item) for n, (t, item) in enumerate(zip(texts, items, strict=True)) if seeded(t, item)}
+    docs = spark.createDataFrame([(n, "pre " * (n % 3) + " ".join(t)) for n, t in enumerate(texts)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in enumerate(items)], "item_id bigint, text string")
+    found = {r["doc_id"]: r["matched"] for r in decontaminate.overlaps(docs, bench).collect()}
+    assert found == {n: m for n, m in want.items() if m >= decontaminate.SHARE * decontaminate.WINDOW}
