@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import drop_saved, saved_at
 
 
 def _print(links: DataFrame) -> tuple:
@@ -16,12 +16,12 @@ def components(links: DataFrame, parts: int | None = None, most: int = 60) -> Da
     """(node, component) of every node that has a link to another; component is the least node it reaches.
 
     links has columns a and b, of an orderable type; order and repeats don't matter, and links of a
-    node to itself or to null are left out. parts: at most so many files for each table. Every round is a saved table, and the number of rounds grows with the
+    node to itself or to null are left out. parts: at most so many files for each table. Every round is a saved table that replaces the one before, and the number of rounds grows with the
     logarithm of the largest component. Least neighbours are found by partial
     aggregation, so that a hub isn't gathered in one task.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = saved(edges, "links", parts)
+    edges, path = saved_at(edges, "links", parts)
     mark = _print(edges)
     if not mark[0]:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -34,7 +34,9 @@ def components(links: DataFrame, parts: int | None = None, most: int = 60) -> Da
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = large.join(least, "u")
         below = pairs.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = saved(below.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links", parts)
+        older = path
+        edges, path = saved_at(below.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links", parts)
+        drop_saved(links.sparkSession, [older])
         before, mark = mark, _print(edges)
         if mark == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
