@@ -2,26 +2,43 @@
 
 Texts become lower-case words of letters and digits. A mask reads some positions of a short
 stretch of words and skips the others, so that a changed word under a skipped position does no harm. The
-hashes of all benchmark items under all masks are joined with those at every
+hashes of all benchmark items under the masks of their length are joined with those at every
 position of every document. At each hit the two texts are laid side by side and compared word by
-word along the whole item: in the best window of WINDOW words of the item (all of a
-shorter item), wherever it lies, SHARE of the words must agree.
+word along the whole item. They overlap where, in the best window of WINDOW words of the item (all of a
+shorter item), SHARE of the words agree, or where RUN words in a row agree.
+
+No overlap is lost: for every item length, and every choice of the changed words that the share allows, some
+mask of the length has a place that reads none of them (tested over all choices). Items of one to
+four words allow no change and are matched whole.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
 
-#: Positions that each mask reads: six of nine words.
-MASKS = ((0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 7, 8), (0, 1, 2, 3, 4, 5))
-SPAN, WINDOW, SHARE = 9, 24, 0.8
-#: Items of fewer words say too little to prove anything and take no part.
-LEAST_WORDS = 5
-#: Up to so many seeds (24 bytes each) go to every executor; more are joined by shuffle.
-BROADCAST_SEEDS = 1_000_000
+WINDOW, SHARE, RUN = 24, 0.8, 13
+#: The masks (positions read) for items from so many words on, up to the next entry.
+FAMILIES = {
+    1: ((0,),), 2: ((0, 1),), 3: ((0, 1, 2),), 4: ((0, 1, 2, 3),),
+    5: ((0, 1, 3), (0, 3, 4)),
+    6: ((0, 2, 3, 4), (0, 1, 2, 5)),
+    7: ((0, 1, 3, 4),),
+    8: ((0, 1, 3, 4, 5), (0, 1, 3, 4, 7)),
+    9: ((0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 7, 8)),
+    10: ((0, 1, 3, 4, 5), (0, 1, 2, 6, 8), (0, 2, 3, 4, 5)),
+    12: ((0, 1, 3, 5, 6, 7), (0, 1, 2, 5, 8, 9), (0, 1, 3, 4, 5, 7)),
+    15: ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 5, 6), (0, 1, 2, 4, 9, 10)),
+}
+#: Up to so many seeds (some 50 bytes each in memory) and bytes of items go to every executor; more are joined by shuffle.
+BROADCAST_SEEDS, BROADCAST_BYTES = 1_000_000, 64_000_000
+#: In a shuffle a seed is dealt over so many tasks, so that a common phrase isn't one task.
+SALTS = 16
+LONGEST_RUN = (1 << 24) - 1
 
 
 def words_of(text: Column) -> Column:
@@ -29,88 +46,113 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def seed(hashes: Column, at: Column, mask: tuple[int, ...], number: int) -> Column:
-    return F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in mask])
+def family_of(size: Column) -> Column:
+    """The key in FAMILIES of an item of so many words."""
+    out = F.lit(None).cast("int")
+    for least in FAMILIES:
+        out = F.when(size >= least, least).otherwise(out)
+    return out
 
 
-def seeds_of(hashes: Column, at: Column, masks: dict[int, tuple[int, ...]]) -> Column:
-    """Hash under each mask that fits in what is left from a position on."""
-    size = F.size(hashes)
-    return F.array(*[F.when(at + (max(m) + 1) <= size, seed(hashes, at, m, n)) for n, m in masks.items()])
+def masks_of(families: list[int]) -> dict[int, tuple[int, ...]]:
+    """The masks of some families by their number among all."""
+    number = count()
+    return {n: m for least, masks in FAMILIES.items() for m in masks for n in [next(number)] if least in families}
 
 
 def positions(df: DataFrame, masks: dict[int, tuple[int, ...]]) -> DataFrame:
-    """df (with words) once for each position and mask: the position `at` and its seed."""
+    """df (with words) once for each position and mask that fits there: the position `at`, the number `mask`, the `seed`."""
     hashed = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    every = hashed.withColumn("at", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("hashes") - 1, F.lit(0)))))
-    return every.withColumn("seed", F.explode_outer(seeds_of(F.col("hashes"), F.col("at"), masks))).where("seed is not null").drop("hashes")
+    every = hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1)))
+    at, size = F.col("at"), F.size("hashes")
+    seeds = [F.when(at + (max(m) + 1) <= size, F.struct(F.lit(n).alias("mask"), F.xxhash64(F.lit(n), *[F.get("hashes", at + i) for i in m]).alias("seed"))) for n, m in masks.items()]
+    return every.withColumn("x", F.explode(F.array(*seeds))).where("x is not null").select("*", "x.mask", "x.seed").drop("hashes", "x")
 
 
 def agreement(words: Column, start: Column, item: Column, size: Column) -> Column:
-    """The most words that agree in a window of size words of the item, if the item begins at word start, which may be negative."""
+    """(best, longest) if the item begins at word start, which may be negative: the most words that agree in a window of size words of the item, and the most that agree in a row."""
     same = lambda k: F.when(F.get(words, start + k) == F.get(item, k), 1).otherwise(0)
 
     def step(state: Column, k: Column) -> Column:
         # Before the window is full its sum is a part of the first window's, so it can only be too small.
-        here = state["here"] + same(k) - F.when(k >= size, same(k - size)).otherwise(0)
-        return F.struct(here.alias("here"), F.greatest(state["best"], here).alias("best"))
+        now = same(k)
+        here = state["here"] + now - F.when(k >= size, same(k - size)).otherwise(0)
+        run = (state["run"] + 1) * now
+        return F.struct(here.alias("here"), F.greatest(state["best"], here).alias("best"), run.alias("run"), F.greatest(state["longest"], run).alias("longest"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), F.struct(F.lit(0).alias("here"), F.lit(0).alias("best")), step, lambda state: state["best"])
+    none = F.struct(*[F.lit(0).alias(x) for x in ("here", "best", "run", "longest")])
+    return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), none, step, lambda s: F.struct(s["best"], s["longest"]))
 
 
-def follows(words: Column, start: Column, item: Column, j: Column) -> Column:
-    """Whether the six words from one before j on agree: then the fourth mask has a hit there, on the same diagonal."""
-    return F.coalesce(F.forall(F.sequence(j - 1, j + 4), lambda k: F.coalesce(F.get(words, start + k) == F.get(item, k), F.lit(False))), F.lit(False))
+def follows(words: Column, start: Column, item: Column, j: Column, mask: Column, masks: dict[int, tuple[int, ...]]) -> Column:
+    """Whether the same mask has a hit one word before j on the same diagonal."""
+    out = F.lit(False)
+    for n, m in masks.items():
+        agree = F.lit(True)
+        for i in m:
+            agree &= F.get(words, start + j + (i - 1)) == F.get(item, j + (i - 1))
+        out = F.when(mask == n, F.coalesce(agree, F.lit(False))).otherwise(out)
+    return out
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id, item_id, item_words, matched, window, start): one row for each document and item that overlap.
+    """(id, item_id, item_words, matched, window, run, start): one row for each document and item that overlap.
 
-    matched is the largest number of agreeing words in a window (of `window` words), start the word of
-    the document at which the item would begin (the smallest, if several match as well). Null and empty texts, and items of fewer
-    than LEAST_WORDS words, overlap with nothing. Rows that share an id give one row; a null
+    matched is the largest number of agreeing words in a window (of `window` words), run the most agreeing
+    words in a row, start the word of the document at which the item would begin: of the place with most matched, then
+    the longest run, then the least start. Null and empty texts overlap with nothing; an item of a
+    few words overlaps with every document that holds them. Rows that share an id give one row; a null
     id stays null. A null item id is an item of its own. An item that repeats under several ids is found under each.
+    An empty table on either side gives an empty result; other columns take no part, whatever their names. A text of any
+    length is one row of its words; a run of more than LONGEST_RUN words is given as that.
     """
-    items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col).cast("string")).alias("words")).where(F.size("words") >= LEAST_WORDS)
+    items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col).cast("string")).alias("words")).where(F.size("words") > 0)
     # As many files as the benchmark has partitions: a shuffle would scatter a small table over all of its own.
     parts = max(1, benchmark.rdd.getNumPartitions())
-    items = saved(items.dropDuplicates(["item", "words"]).withColumn("no", F.xxhash64("item", "words")).coalesce(parts), "items")
-    short = sorted(r[0] for r in items.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect())  # lengths below SPAN
-    masks = dict(enumerate(MASKS)) | {100 + n: tuple(range(n)) for n in short}
-    fits = F.size("words") >= SPAN
-    # Items as long as a mask are hashed under the fixed masks, a shorter one as a whole.
-    long_seeds = positions(items.where(fits), dict(enumerate(MASKS))).select("no", F.col("at").alias("j"), "seed")
-    for n in short:
-        whole = items.where(F.size("words") == n).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-        long_seeds = long_seeds.unionByName(whole.select("no", F.lit(0).alias("j"), seed(F.col("hashes"), F.lit(0), masks[100 + n], 100 + n).alias("seed")))
-    seeds = saved(long_seeds.distinct().coalesce(parts), "seeds")
-    few = seeds.count() <= BROADCAST_SEEDS
-    small = F.broadcast if few else (lambda x: x)
-    rows = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col).cast("string")).alias("words")).where(F.size("words") >= LEAST_WORDS)
+    items = saved(items.dropDuplicates(["item", "words"]).withColumn("no", F.xxhash64("item", "words")).withColumn("family", family_of(F.size("words"))).coalesce(parts), "items")
+    used = sorted(r[0] for r in items.select("family").distinct().collect())  # at most one row for each entry of FAMILIES
+    masks, seeds = masks_of(used), None
+    for family in used:
+        of_family = positions(items.where(F.col("family") == family), masks_of([family])).select("no", F.col("at").alias("j"), "mask", "seed")
+        seeds = of_family if seeds is None else seeds.unionByName(of_family)
+    if seeds is None:
+        seeds = items.select("no", F.lit(0).alias("j"), F.lit(0).alias("mask"), F.lit(0).cast("bigint").alias("seed"))
+        masks = masks_of([1])
+    seeds = saved(seeds.coalesce(parts), "seeds")
+    held = items.agg(F.coalesce(F.sum(F.size("words") * 24 + F.length(F.array_join("words", ""))), F.lit(0))).first()[0]
+    few = seeds.count() <= BROADCAST_SEEDS and held <= BROADCAST_BYTES
+    rows = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col).cast("string")).alias("words")).where(F.size("words") > 0)
     item = items.select("no", F.col("words").alias("item_words"), F.col("item"))
     diagonal = (F.col("at") - F.col("j")).alias("start")
     if few:
         # The words ride along: only rows that hit are ever copied.
-        hits = positions(rows, masks).join(small(seeds), "seed").select("id", "words", "no", diagonal, "j")
-        hits = hits.join(small(item), "no")
+        hits = positions(rows, masks).join(F.broadcast(seeds.drop("mask")), "seed").select("id", "words", "no", diagonal, "j", "mask")
+        hits = hits.join(F.broadcast(item), "no")
+        # All hits of a diagonal give one comparison; of hits in a row the first is enough.
+        hits = hits.where(~follows(F.col("words"), F.col("start"), F.col("item_words"), F.col("j"), F.col("mask"), masks))
     else:
         rows = rows.withColumn("row", F.xxhash64("id", "words"))
-        light = positions(rows, masks).select("row", "at", "seed").join(seeds, "seed").select("row", "no", diagonal, "j").distinct()
+        dealt = seeds.drop("mask").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        light = positions(rows, masks).select("row", "at", "seed", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"))
+        light = light.join(dealt, ["seed", "salt"]).select("row", "no", diagonal).distinct()
         hits = light.join(rows, "row").join(item, "no")
-    n = F.size("item_words")
-    size = F.least(n, F.lit(WINDOW))
-    # All hits of a diagonal give one comparison; of hits in a row the first is enough.
-    hits = hits.where(~follows(F.col("words"), F.col("start"), F.col("item_words"), F.col("j")))
-    hits = hits.withColumn("window", size).withColumn("matched", agreement(F.col("words"), F.col("start"), F.col("item_words"), F.col("window")))
-    hits = hits.where(F.col("matched") >= F.ceil(F.lit(SHARE) * F.col("window"))).select("id", "item", F.size("item_words").alias("item_words"), "matched", "window", "start")
-    # The largest number of matches and then the least start in one long, so that the aggregate's buffer is plain numbers.
-    code = F.col("matched").cast("bigint") * (1 << 33) + ((1 << 32) - F.col("start").cast("bigint"))
+    size = F.least(F.size("item_words"), F.lit(WINDOW))
+    hits = hits.withColumn("window", size).withColumn("found", agreement(F.col("words"), F.col("start"), F.col("item_words"), F.col("window")))
+    hits = hits.select("id", "item", F.size("item_words").alias("item_words"), F.col("found.best").alias("matched"), F.least("found.longest", F.lit(LONGEST_RUN)).alias("run"), "window", "start")
+    hits = hits.where((F.col("matched") >= F.ceil(F.lit(SHARE) * F.col("window"))) | (F.col("run") >= RUN))
+    # The most matches, then the longest run and the least start in one long, so that the aggregate's buffer is plain numbers.
+    code = F.shiftleft(F.col("matched").cast("bigint"), 57) + F.shiftleft(F.col("run").cast("bigint"), 33) + ((1 << 32) - F.col("start").cast("bigint"))
     best = hits.groupBy("id", "item").agg(F.max(code).alias("code"), F.max("window").alias("window"), F.max("item_words").alias("item_words"))
-    matched, start = F.shiftright("code", 33), F.lit(1 << 32) - F.col("code").bitwiseAND(F.lit((1 << 33) - 1))
-    return best.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), F.col("item_words").cast("bigint").alias("item_words"), matched.alias("matched"), F.col("window").cast("bigint").alias("window"), start.alias("start"))
+    run, start = F.shiftright("code", 33).bitwiseAND(F.lit(LONGEST_RUN)), F.lit(1 << 32) - F.col("code").bitwiseAND(F.lit((1 << 33) - 1))
+    long = lambda x: F.col(x).cast("bigint").alias(x)
+    return best.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), long("item_words"), F.shiftright("code", 57).alias("matched"), long("window"), run.alias("run"), start.alias("start"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that overlap with no benchmark item, columns unchanged; rows with a null id stay unless such a row overlaps."""
-    bad = overlaps(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__cl_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__cl_id"]), "left_anti")
+    """The documents that overlap with no benchmark item, columns unchanged.
+
+    Rows that share an id, or have a null id, go together if one of them overlaps. Rows with a null or empty text
+    of their own id stay. An empty table gives an empty result, an empty benchmark all rows; columns may have any names.
+    """
+    bad = overlaps(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__cl_bad_id")).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["__cl_bad_id"]), "left_anti")
