@@ -24,8 +24,9 @@ RATIO, MIN_PAGES = 0.02, 5
 SHINGLE, LOOKS = 3, 12
 #: Copies count once for a line of which so large a share of pages, or less, is left then.
 COPIED = 0.5
-#: Up to so many boilerplate lines in all (24 bytes each and the host) go to every executor; more are joined by shuffle.
-BROADCAST_LINES = 200_000
+#: Up to so many boilerplate lines in all (24 bytes each and the host) go to every executor; more are joined by shuffle,
+#: a site's pages dealt over SALTS tasks and its list copied to each.
+BROADCAST_LINES, SALTS = 200_000, 64
 
 
 def url_host(url: Column) -> Column:
@@ -64,6 +65,16 @@ def site(host: Column) -> Column:
     return F.coalesce(F.concat(F.lit("h"), host), F.lit("n"))
 
 
+def with_lists(rows: DataFrame, text: Column, sites: DataFrame, few: bool, how: str) -> DataFrame:
+    """rows (with site) joined with the sites' lists, so that no task gets all pages of a site."""
+    if few:
+        return rows.join(F.broadcast(sites), "site", how)
+    # Copies of a text in different input partitions go to different tasks.
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(text) + F.spark_partition_id(), F.lit(SALTS)).cast("int"))
+    dealt = sites.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(dealt, ["site", "salt"], how)
+
+
 def with_looks(rows: DataFrame) -> DataFrame:
     """rows with, for rest, `looks`: the least hashes of the text's runs of words under LOOKS orders; a text too short for a run is its own.
 
@@ -81,8 +92,7 @@ def with_looks(rows: DataFrame) -> DataFrame:
 def distinct_pages(pages: DataFrame, often: DataFrame) -> DataFrame:
     """(site, line, apart) of the lines in often: pages of (host, text) that hold them, copies counted once."""
     sites = often.groupBy("site").agg(F.collect_list("line").alias("bad"))  # bounded for each site, see above
-    small = F.broadcast if often.count() <= BROADCAST_LINES else (lambda x: x)
-    rows = pages.select(site(F.col("host")).alias("site"), "text").join(small(sites), "site")
+    rows = with_lists(pages.select(site(F.col("host")).alias("site"), "text"), F.col("text"), sites, often.count() <= BROADCAST_LINES, "inner")
     frequent = lambda x: F.array_contains("bad", line_key(F.trim(x)))
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
     held = F.array_distinct(F.transform(F.filter(lines, frequent), lambda x: line_key(F.trim(x))))
@@ -101,21 +111,22 @@ def distinct_pages(pages: DataFrame, often: DataFrame) -> DataFrame:
 def drop_boilerplate(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """df with each site's boilerplate lines taken out of text_col, plus __cl_lines and __cl_dropped (lines before, lines dropped).
 
-    All rows and columns stay. Blank lines stay; a null text stays null (0 lines); a text left with
-    no line is empty. Lines are compared without the spaces around them. The order of lines is kept.
+    All rows and columns stay, whatever their names; only columns of those two names are replaced. Blank lines stay;
+    a null text stays null (0 lines); a text left with no line is empty. Lines are compared without the spaces around
+    them, whole, however long, and their order is kept. Repeated rows are pages each. An empty table gives an empty result.
     """
     host, text = F.col(host_col).cast("string"), F.col(text_col).cast("string")
     found = saved(boilerplate(df, host, text, ratio, min_pages).select("host", "line"), "boilerplate")
-    sites = found.groupBy("host").agg(F.collect_list("line").alias("__cl_bad"))  # bounded for each site, see above
-    few = found.count() <= BROADCAST_LINES
-    sites = sites.select(site(F.col("host")).alias("__cl_host"), "__cl_bad")
-    rows = df.withColumn("__cl_host", site(host))
-    rows = rows.join(F.broadcast(sites) if few else sites, "__cl_host", "left")
+    sites = found.groupBy("host").agg(F.collect_list("line").alias("bad")).select(site(F.col("host")).alias("site"), "bad")  # bounded for each site, see above
+    # The columns of df travel in one, so that their names meet no other.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), site(host).alias("site"))
+    text = F.col("row").getField(text_col).cast("string")
+    rows = with_lists(rows, text, sites, found.count() <= BROADCAST_LINES, "left")
     lines = F.split(text, "\n")
-    bad = lambda x: F.array_contains(F.col("__cl_bad"), line_key(F.trim(x)))
-    kept = F.when(F.col("__cl_bad").isNull(), lines).otherwise(F.filter(lines, lambda x: (F.trim(x) == "") | ~bad(x)))
-    rows = rows.withColumn("__cl_kept", kept)
-    out = rows.withColumn("__cl_lines", F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint"))
-    out = out.withColumn("__cl_dropped", (F.col("__cl_lines") - F.when(text.isNull(), 0).otherwise(F.size("__cl_kept"))).cast("bigint"))
-    out = out.withColumn(text_col, F.when(F.col("__cl_dropped") > 0, F.array_join("__cl_kept", "\n")).otherwise(text))
-    return out.drop("__cl_host", "__cl_bad", "__cl_kept")
+    bad = lambda x: F.array_contains("bad", line_key(F.trim(x)))
+    kept = F.when(F.col("bad").isNull(), lines).otherwise(F.filter(lines, lambda x: (F.trim(x) == "") | ~bad(x)))
+    size = lambda x: F.when(text.isNull(), 0).otherwise(F.size(x)).cast("bigint")
+    rows = rows.withColumn("kept", kept).withColumn("before", size(lines)).withColumn("dropped", F.col("before") - size(F.col("kept")))
+    left = F.when(F.col("dropped") > 0, F.array_join("kept", "\n")).otherwise(text)
+    own = [left.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns if c not in ("__cl_lines", "__cl_dropped")]
+    return rows.select(*own, F.col("before").alias("__cl_lines"), F.col("dropped").alias("__cl_dropped"))
