@@ -42,8 +42,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metadata and conversion records of all pages."""
-    return warc.derivatives(warc.responses_from_pages(_read(spark, sf_dir, "pages")), "page_id").drop("source_headers")
+    """The metadata and conversion records of all pages; source_headers as JSON, an array of names and values in the order of names."""
+    out = warc.derivatives(warc.responses_from_pages(_read(spark, sf_dir, "pages")), "page_id")
+    return out.withColumn("source_headers", F.to_json(F.array_sort(F.map_entries("source_headers"))))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(_read(spark, sf_dir, "embeddings"))
+    """The five best of each query; the contract's components give scores of 64 bits."""
+    return topk.top_k(_read(spark, sf_dir, "embeddings")).drop("beyond")
 
 
 def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,34 +72,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_minhash, op4_line_dedup, op5_warc, op6_packing, op7_topk, op8_wavelet, op9_quality, op10_token_counts)}
 
 
-def _seed_sql() -> str:
-    keys = []
-    for n, mask in enumerate(decontaminate.MASKS):
-        keys.append(f"CASE WHEN p + {max(mask)} <= len(w) THEN concat_ws(' ', '{n}', " + ", ".join(f"w[p + {i}]" for i in mask) + ") END")
-    for n in range(decontaminate.LEAST_WORDS, decontaminate.SPAN):
-        keys.append(f"CASE WHEN p + {n - 1} <= len(w) THEN concat_ws(' ', '{100 + n}', " + ", ".join(f"w[p + {i}]" for i in range(n)) + ") END")
-    return "[" + ", ".join(keys) + "]"
-
-
 def oracle_sql() -> dict[str, str]:
     d = decontaminate
     words = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
-    masks = len(d.MASKS)
+    # Every diagonal on which enough words agree, with no seeds.
     sql1 = f"""
-WITH doc AS (SELECT doc_id, {words} AS w FROM documents),
-item AS (SELECT item_id, {words} AS w FROM benchmark),
-doc_at AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM doc WHERE len(w) >= {d.LEAST_WORDS}),
-item_at AS (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS p FROM item WHERE len(w) >= {d.LEAST_WORDS}),
-doc_seed AS (SELECT doc_id, p, unnest({_seed_sql()}) AS seed FROM doc_at),
-item_seed AS (SELECT item_id, p, n, seed FROM (SELECT item_id, p, len(w) AS n, unnest({_seed_sql()}) AS seed FROM item_at)
-              WHERE seed IS NOT NULL AND CASE WHEN n >= {d.SPAN} THEN split_part(seed, ' ', 1)::INT < {masks} ELSE split_part(seed, ' ', 1)::INT = 100 + n END),
-hit AS (SELECT DISTINCT doc_id, item_id, doc_seed.p - item_seed.p AS start, item_seed.p - 1 AS j FROM doc_seed JOIN item_seed USING (seed)),
-placed AS (SELECT hit.*, doc.w AS dw, item.w AS iw, least(len(item.w), {d.WINDOW}) AS wid,
-           greatest(0, least(j - ((least(len(item.w), {d.WINDOW}) - {d.SPAN}) // 2 - CASE WHEN least(len(item.w), {d.WINDOW}) < {d.SPAN} AND (least(len(item.w), {d.WINDOW}) - {d.SPAN}) % 2 <> 0 THEN 1 ELSE 0 END), len(item.w) - least(len(item.w), {d.WINDOW}))) AS f
-           FROM hit JOIN doc USING (doc_id) JOIN item USING (item_id)),
-agreed AS (SELECT doc_id, item_id, len(iw) AS item_words, wid, start, len(list_filter(range(f, f + wid), lambda k: start + k >= 0 AND start + k < len(dw) AND dw[start + k + 1] = iw[k + 1])) AS matched FROM placed),
-best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) AS r FROM agreed WHERE matched >= ceil({d.SHARE} * wid))
-SELECT doc_id, item_id, CAST(item_words AS BIGINT) AS item_words, CAST(matched AS BIGINT) AS matched, CAST(wid AS BIGINT) AS "window", CAST(start AS BIGINT) AS start FROM best WHERE r = 1
+WITH doc AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM (SELECT doc_id, {words} AS w FROM documents)),
+item AS (SELECT item_id, len(w) AS n, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM (SELECT item_id, {words} AS w FROM benchmark)),
+diagonal AS (SELECT doc_id, item_id, n, least(n, {d.WINDOW}) AS wid, p - j AS start, list(j ORDER BY j) AS js FROM doc JOIN item USING (x)
+             GROUP BY doc_id, item_id, n, p - j HAVING count(*) >= least({d.RUN}, ceil({d.SHARE} * least(n, {d.WINDOW})))),
+agreed AS (SELECT *, list_max(list_transform(js, lambda a: len(list_filter(js, lambda b: b >= a AND b < a + wid)))) AS matched, list_transform(js, lambda a, i: a - i) AS steps FROM diagonal),
+runs AS (SELECT *, list_max(list_transform(list_distinct(steps), lambda v: len(list_filter(steps, lambda u: u = v)))) AS run FROM agreed),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, run DESC, start) AS r FROM runs WHERE matched >= ceil({d.SHARE} * wid) OR run >= {d.RUN})
+SELECT doc_id, item_id, CAST(n AS BIGINT) AS item_words, CAST(matched AS BIGINT) AS matched, CAST(wid AS BIGINT) AS "window", CAST(run AS BIGINT) AS run, CAST(start AS BIGINT) AS start FROM best WHERE r = 1
 """
     ratio, pages = linededup.RATIO, linededup.MIN_PAGES
     sql4 = f"""
@@ -116,7 +103,7 @@ SELECT doc_id, CASE WHEN len(k) < len(lines) THEN array_to_string(k, chr(10)) EL
 def topk_sql() -> str:
     return """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
