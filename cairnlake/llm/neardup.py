@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_of
+from .common import saved, slices, text_of
 from .components import components
 
 WORDS, HASHES, ROWS, BITS, SIGMAS = 5, 96, 4, 4, 5.0
@@ -95,7 +95,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         import xxhash
 
         sets, sketcher = Shingles(), Sketcher()
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole)):
             sizes, keys, bands, low = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = sets.set_of(text)
@@ -118,7 +118,7 @@ def full_sets(df: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> Da
         import pyarrow as pa
 
         sets = Shingles()
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole)):
             found = [sets.set_of(t).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
@@ -161,7 +161,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least id that links reach, kept is true where that is the row's own id. A document without words
     has no shingles and no links. Rows that share an id are one document and linked; a row with a null id
     is linked with nothing, has a null component_id and is kept. Equal sets are always linked. Columns other than the two named take no part.
-    An empty table gives an empty result. df is read twice, for the sketches and for the full sets of candidates: give it
+    An empty table gives an empty result. A text is read whole; its set takes 8 bytes a word. df is read twice, for the sketches and for the full sets of candidates: give it
     as a table.
     """
     docs = saved(sketches(df, id_col, text_col), "sketches")
@@ -241,6 +241,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """df without the documents that aren't the least of their component; columns unchanged, rows with a null id kept."""
-    gone = near_duplicates(df, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("__cl_id")).distinct()
-    return df.join(gone, F.col(id_col).cast("bigint") == F.col("__cl_id"), "left_anti")
+    """df without the documents that aren't the least of their component; columns unchanged, whatever their names.
+
+    Rows with a null id and rows without words are kept; rows that share an id are one document and stay or go together.
+    An empty table gives an empty result.
+    """
+    gone = near_duplicates(df, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("__cl_gone_id")).distinct()
+    return df.join(gone, df[id_col].cast("bigint") == gone["__cl_gone_id"], "left_anti")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from typing import TYPE_CHECKING, Any
 
@@ -20,14 +21,18 @@ import numpy as np
 if TYPE_CHECKING:
     import pyarrow as pa
 
-#: Pieces that a worker remembers (some 170 MB), bytes of text that are cut at once, and words whose ids are put together at once.
-MEMO_WORDS, CHUNK_BYTES, GATHER_WORDS = 800_000, 12_000_000, 500_000
+#: Memory that remembered words may take in a worker (by an estimate of each entry), bytes of text that are cut at once, and words whose ids are put together at once.
+MEMO_BYTES, CHUNK_BYTES, GATHER_WORDS = 30_000_000, 2_000_000, 200_000
+#: What an entry takes besides the bytes of its word and value.
+ENTRY_BYTES = 160
 CUT = "\x00"
 #: White space other than single spaces and newlines between words, and the sign that cuts.
 NOT_PLAIN = r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Latin letters or none and then marks or none, after a space or not: a piece each.
 SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)?([.,;:!?|*&%$#)]*)").fullmatch
 
+GAP = re.compile("[ \n]").search
+
 
 def byte_names() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: itself if printable in Latin-1, else 256 and up in order."""
@@ -39,22 +44,26 @@ def byte_names() -> list[str]:
 class Memo(dict):
     """Values of words by a function. Once full it keeps what it has, frequent words mostly, and starts anew after many misses."""
 
-    def __init__(self, value: Callable[[str], Any], most: int = MEMO_WORDS):
+    def __init__(self, value: Callable[[str], Any], most: int | None = None):
         super().__init__()
-        self.value, self.most, self.misses = value, most, 0
+        self.value, self.most, self.held, self.misses = value, MEMO_BYTES if most is None else most, 0, 0
 
     def __missing__(self, word: str) -> Any:
         out = self.value(word)
-        if len(self) < self.most:
+        if self.held < self.most:
             if len(word) <= 64:
                 self[word] = out
+                self.held += ENTRY_BYTES + len(word) + (len(out) if isinstance(out, (bytes, list)) else 0)
         else:
             self.misses += 1
-            if self.misses > 10 * self.most:
-                self.clear()
-                self.misses = 0
+            if self.misses > self.most // 20:
+                self.forget()
         return out
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = self.misses = 0
+
 
 class Words:
     """Cuts plain texts into words and gives their values: piece() of a single piece, value() of any text; values can be added."""
@@ -76,10 +85,33 @@ class Words:
             out.append(v)
         return out
 
-    def cut(self, texts: pa.Array) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, list]]:
+    def not_plain(self, texts: pa.Array) -> pa.Array:
+        """Whether a text must go to the library whole."""
+        import pyarrow.compute as pc
+
+        odd = pc.or_(pc.match_substring_regex(texts, NOT_PLAIN), pc.equal(texts, ""))
+        for x in self.never:
+            odd = pc.or_(odd, pc.match_substring(texts, x))
+        return odd
+
+    def stretches(self, text: str) -> list[str] | None:
+        """A long plain text in stretches that begin with its white space, so that their words are those of the text; None if it isn't plain."""
+        import pyarrow as pa
+
+        if self.not_plain(pa.array([text]))[0].as_py():
+            return None
+        out, start = [], 0
+        while start < len(text):
+            found = GAP(text, start + CHUNK_BYTES // 4)
+            end = found.start() if found else len(text)
+            out.append(text[start:end])
+            start = end
+        return out
+
+    def cut(self, texts: pa.Array, plain: bool = False) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, list]]:
         """For chunks of texts: the first row, which rows are plain, where their words begin and end, each word's number, the different words' values.
 
-        Rows that aren't plain have no words.
+        Rows that aren't plain have no words. plain: all are known to be plain.
         """
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -89,10 +121,7 @@ class Words:
         while row < len(texts):
             end = max(row + 1, int(np.searchsorted(sizes, (sizes[row - 1] if row else 0) + CHUNK_BYTES)))
             part = texts.slice(row, end - row)
-            odd = pc.match_substring_regex(part, NOT_PLAIN)
-            for x in self.never:
-                odd = pc.or_(odd, pc.match_substring(part, x))
-            odd = pc.or_(odd, pc.equal(part, ""))
+            odd = self.not_plain(part) if not plain else pa.array([False] * len(part))
             marked = pc.replace_substring(pc.replace_substring(pc.if_else(odd, "", part), " ", CUT + " "), "\n", CUT + "\n" + CUT)
             lists = pc.split_pattern(marked, CUT)
             words = lists.flatten().dictionary_encode()
@@ -122,8 +151,19 @@ class Encoder:
         self.words = Words(piece, raw, added)
 
     def many(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text, in order; texts is an Arrow array of strings without nulls."""
-        for row, odd, offsets, which, values in self.words.cut(texts):
+        """The ids of each text, in order; texts is an Arrow array of strings without nulls. A long plain text is cut and put together in stretches."""
+        import pyarrow as pa
+
+        for some, long in by_length(texts):
+            if not long:
+                yield from self._of(some)
+            elif (parts := self.words.stretches(text := some[0].as_py())) is None:
+                yield np.frombuffer(self.raw(text), "<u4")
+            else:
+                yield np.concatenate([ids for x in parts for ids in self._of(pa.array([x]), plain=True)])
+
+    def _of(self, texts: pa.Array, plain: bool = False) -> Iterator[np.ndarray]:
+        for row, odd, offsets, which, values in self.words.cut(texts, plain):
             lengths = np.fromiter(map(len, values), np.int32, len(values)) // 4
             flat, starts = np.frombuffer(b"".join(values), "<u4"), np.cumsum(lengths, dtype=np.int32) - lengths
             others, n, i = odd.to_pylist(), len(offsets) - 1, 0
@@ -139,12 +179,38 @@ class Encoder:
                 i = j
 
 
-@lru_cache(maxsize=2)
+def by_length(texts: pa.Array) -> Iterator[tuple[pa.Array, bool]]:
+    """Runs of texts of at most CHUNK_BYTES each, and each longer text alone (true), in order."""
+    import pyarrow.compute as pc
+
+    at = 0
+    for i in np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False) > CHUNK_BYTES).tolist() if len(texts) else []:
+        if i > at:
+            yield texts.slice(at, i - at), False
+        yield texts.slice(i, 1), True
+        at = i + 1
+    if at < len(texts):
+        yield texts.slice(at), False
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process."""
     return Encoder(path)
 
 
+@contextmanager
+def for_task(words: Words) -> Iterator[None]:
+    """At the end of a task the words it remembered and Arrow's unused memory are given back: a worker process outlives its tasks."""
+    import pyarrow as pa
+
+    try:
+        yield
+    finally:
+        words.memo.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

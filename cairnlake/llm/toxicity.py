@@ -12,21 +12,23 @@ import json
 import math
 import re
 from collections import Counter as Tally
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import slices, text_of
 from .tokens import Memo
 
-#: The model is fitted on at most so many labelled documents, those of least hash.
-SAMPLE_DOCS = 8_000
+#: The model is fitted on at most so many labelled documents, those of least hash, and at most so many bytes of their texts; a text that would go beyond is left out.
+SAMPLE_DOCS, SAMPLE_BYTES = 8_000, 48_000_000
 #: The model looks at the stems and words that tell the labels apart best.
 FEATURES = 2_000
 STEMS = (4, 5, 6, 7)
-SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)|\n").split
+SENTENCE_END = re.compile(r"[.!?\n]+(?:\s|$)|\n").finditer
 EDGE = "\"'.,;:!?()[]{}<>|*&%$#@_-"
 
 
@@ -36,9 +38,22 @@ def features_of(word: str) -> list[str]:
     return [w + "$", *(w[:n] for n in STEMS if len(w) >= n)] if w else []
 
 
+def each_sentence(text: str) -> Iterator[str]:
+    """Sentences with words in them; a text without any has one empty sentence. One at a time, however long the text."""
+    at, none = 0, True
+    for end in SENTENCE_END(text):
+        if (s := text[at : end.start()]) and not s.isspace():
+            none = False
+            yield s
+        at = end.end()
+    if (s := text[at:]) and not s.isspace():
+        yield s
+    elif none:
+        yield ""
+
+
 def sentences_of(text: str) -> list[str]:
-    """Sentences with words in them; an empty text has one empty sentence."""
-    return [s for s in SENTENCE(text) if s and not s.isspace()] or [""]
+    return list(each_sentence(text))
 
 
 def fit(texts: list[str], labels: list[int], steps: int = 500, rate: float = 0.1, penalty: float = 5e-6) -> dict:
@@ -46,14 +61,14 @@ def fit(texts: list[str], labels: list[int], steps: int = 500, rate: float = 0.1
     y = np.array(labels, np.float64)
     if not len(y):
         return {"bias": -5.0, "weights": {}}
-    seen = [Tally(), Tally()]
+    seen, known = [Tally(), Tally()], Memo(features_of)
     for text, label in zip(texts, labels, strict=True):
-        seen[label].update({f for w in set(text.lower().split()) for f in features_of(w)})
+        seen[label].update(set().union(*map(known.__getitem__, set(text.lower().split()))))
     n1, n0 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
     tells = {f: (a := seen[1][f], b := seen[0][f], abs(a / n1 - b / n0) ** 2 / ((a + b) / (n1 + n0) + 1 / len(y)))[2] for f in seen[0].keys() | seen[1].keys() if seen[0][f] + seen[1][f] >= 3}
     chosen = {f: i for i, f in enumerate(sorted(tells, key=lambda f: (-tells[f], f))[:FEATURES])}
-    del seen, tells
-    told = Memo(lambda w: [chosen[f] for f in features_of(w) if f in chosen], 300_000)
+    del seen, tells, known
+    told = Memo(lambda w: [chosen[f] for f in features_of(w) if f in chosen])
     doc, row, col = [], [], []
     for d, text in enumerate(texts):
         for s in sentences_of(text):
@@ -81,80 +96,92 @@ class Scorer:
     def __init__(self, model: dict):
         weight = model["weights"].get
         self.bias = model["bias"]
-        self.words = Memo(lambda w: sum(weight(f, 0.0) for f in features_of(w)), 300_000)
+        self.words = Memo(lambda w: sum(weight(f, 0.0) for f in features_of(w)), 20_000_000)
+
+    def logit(self, sentence: str) -> float:
+        return self.bias + sum(map(self.words.__getitem__, sentence.lower().split()))
 
     def sentence_logits(self, text: str) -> list[float]:
-        word, bias = self.words.__getitem__, self.bias
-        return [bias + sum(map(word, s.lower().split())) for s in sentences_of(text)]
+        return [self.logit(s) for s in sentences_of(text)]
+
+    def judge(self, text: str) -> tuple[float, float, str | None]:
+        """The noisy-or over the sentences, the greatest sentence logit, and its first sentence if that is over the bias."""
+        none, best, where = 0.0, -math.inf, None
+        for s in each_sentence(text):
+            z = self.logit(s)
+            none += z if z > 30 else math.log1p(math.exp(z)) if z > -30 else 0.0
+            if z > best:
+                best, where = z, s
+        return -math.expm1(-none), best, where if best > self.bias else None
 
     def score(self, text: str) -> float:
         """Noisy-or over the sentences."""
-        none = 0.0
-        for z in self.sentence_logits(text):
-            none += z if z > 30 else math.log1p(math.exp(z)) if z > -30 else 0.0
-        return -math.expm1(-none)
+        return self.judge(text)[0]
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE_DOCS) -> dict:
     """Fits the model in one task, on at most `sample` labelled documents.
 
     Rows with a null id or label, or a label other than 0 and 1, are not used; a null text is
-    empty. Without labelled rows the model gives every text the same low score.
+    empty; of rows that share an id one is used. Without labelled rows the model gives every text the same low score.
     """
-    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["id"])
-    order = F.xxhash64(F.col("id").cast("string"))
-    chosen = known.join(df.select(F.col(id_col).alias("id")), "id", "left_semi").orderBy(order, "id").limit(sample)
-    rows = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id")
-
-    def run(table):
-        import pandas as pd
-
-        table = table.sort_values(["id", "text"]).drop_duplicates("id")
-        return pd.DataFrame({"model": [json.dumps(fit(table["text"].tolist(), table["label"].tolist()))]})
-
-    found = rows.groupBy(F.lit(0).alias("__cl_all")).applyInPandas(run, "model string").first()
+    found = sample_of(df, labels, id_col, text_col, label_col, sample, SAMPLE_BYTES, fit).first()
     return json.loads(found["model"]) if found else fit([], [])
 
 
-def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(id, score, worst_sentence, worst_score), and the columns named by keep, one row per row; worst_sentence is the text of the sentence likeliest to offend.
+def sample_of(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, most: int, fit: Callable[[list[str], list[int]], dict], weight: Callable[[str], int] = len) -> DataFrame:
+    """(model) by fit, as JSON, of the labelled documents of least hash: at most `sample`, weighing at most `most` in all, read in that order by one task."""
+    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["id"])
+    order = F.xxhash64(F.col("id").cast("string"))
+    chosen = known.join(df.select(F.col(id_col).alias("id")), "id", "left_semi").orderBy(order, "id").limit(sample)
+    rows = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "label", "text")
 
-    A null or empty text is one empty sentence, its score the model's floor. Ties between
-    sentences go to the first. Repeated rows are scored each.
+    def run(batches: Iterator) -> Iterator:
+        texts, out, held, last = [], [], 0, None
+        for batch in (x for whole in batches for x in slices(whole)):
+            for i, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if i != last and held + (size := weight(text)) <= most:
+                    texts.append(text)
+                    out.append(label)
+                    held += size
+                last = i
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([json.dumps(fit(texts, out))])], names=["model"])
+
+    return rows.repartition(1).sortWithinPartitions(order, "id", "text").mapInArrow(run, "model string")
+
+
+def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score, worst_sentence, worst_score), one row per row; worst_sentence is the text of the sentence likeliest to offend.
+
+    A null or empty text is one empty sentence, its score the model's floor. Texts are read sentence by
+    sentence, however long. Ties between sentences go to the first. Repeated rows are scored each;
+    an empty table gives an empty result; other columns take no part, whatever their names.
     """
-    keep = keep or []
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(id_col, *keep).schema)
+    kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         scorer = Scorer(model)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            scores, where, worst = [], [], []
-            for t in texts:
-                z = scorer.sentence_logits(t)
-                best = max(range(len(z)), key=z.__getitem__)
-                scores.append(-math.expm1(-sum(x if x > 30 else math.log1p(math.exp(x)) if x > -30 else 0.0 for x in z)))
-                where.append(sentences_of(t)[best] if z[best] > scorer.bias else None)
-                worst.append(1 / (1 + math.exp(-max(z[best], -700))))
-            names = [*batch.schema.names[:-1], "score", "worst_sentence", "worst_score"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array(where, pa.string()), pa.array(worst, pa.float64())], names=names)
+        for batch in (x for whole in batches for x in slices(whole)):
+            scores, z, where = zip(*map(scorer.judge, batch.column(1).to_pylist()), strict=True)
+            worst = pa.array([1 / (1 + math.exp(-max(x, -700))) for x in z], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(where, pa.string()), worst], names=[id_col, "score", "worst_sentence", "worst_score"])
 
-    return df.select(id_col, *keep, text_of(text_col).alias("__cl_text")).mapInArrow(run, f"{fields}, score double, worst_sentence string, worst_score double")
+    return df.select(F.col(id_col), text_of(text_col).alias("__cl_text")).mapInArrow(run, f"`{id_col}` {kind}, score double, worst_sentence string, worst_score double")
 
 
 def keep_below(df: DataFrame, model: dict, least: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of df whose text scores below `least`, columns unchanged; a null text scores as an empty one."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
+    """The rows of df whose text scores below `least`, columns unchanged.
 
-    at = df.columns.index(text_col)
+    A null text scores as an empty one. Each row is judged by its text alone, repeated ones too; an empty
+    table gives an empty result. Only the text goes to Python, so other columns take no part, whatever their names.
+    """
 
-    def run(batches: Iterator) -> Iterator:
+    def below(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model)
-        for batch in batches:
-            keep = [scorer.score(t or "") < least for t in batch.column(at).to_pylist()]
-            yield batch.filter(pc.fill_null(pa.array(keep, pa.bool_()), True))
+        for batch in texts:
+            rows = pa.RecordBatch.from_arrays([batch], names=["text"])
+            kept = [scorer.score(t) < least for part in slices(rows) for t in part.column(0).to_pylist()]
+            yield pa.array(kept, pa.bool_())
 
-    return df.mapInArrow(run, df.schema)
+    return df.where(F.arrow_udf(below, "boolean")(text_of(text_col)))

@@ -14,6 +14,7 @@ words padded to 512 bits, and the ones before each 512 bits as uint32.
 from __future__ import annotations
 
 import struct
+import uuid
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -21,8 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, saved, text_of
-from .tokens import default_vocabulary, encoder
+from .common import fresh_path, saved, slices, text_of
+from .tokens import default_vocabulary, encoder, for_task
 
 MAGIC, BLOCK, END_ID = b"WMX1", 512, 2
 #: A shard is closed once it holds so many tokens.
@@ -164,22 +165,22 @@ def from_bytes(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray
 def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Encodes all texts in ascending id order into shard files under path; one row per shard.
 
-    Returns (part, number, file, n_docs, n_tokens), a saved table. path is a URI that all
+    Returns (part, number, file, n_docs, n_tokens), a saved table; the files of a call have a folder of their own. path is a URI that all
     executors can write (file, hdfs, s3, gs). Each document ends with id 2; a null text is
     empty; null ids come first, and equal ids stand by the hash of their texts. A file is written
-    under another name and renamed once whole, so that a task that runs twice does no harm.
+    under another name and renamed once whole, so that a task that runs twice does no harm. A document is never
+    divided: a shard holds shard_tokens and the rest of its last document, and rows of equal id and text stand in one task.
     """
-    vocabulary = vocabulary or default_vocabulary()
+    vocabulary, folder = vocabulary or default_vocabulary(), f"shards-{uuid.uuid4().hex}"
 
     def run(batches: Iterator) -> Iterator:
-        import uuid
 
         import pyarrow as pa
         from pyarrow import fs
         from pyspark import TaskContext
 
-        store, root = fs.FileSystem.from_uri(path)
-        part, many, end = TaskContext.get().partitionId(), encoder(vocabulary).many, END_ID.to_bytes(4, "little")
+        store, root = fs.FileSystem.from_uri(f"{path}/{folder}")
+        part, model, end = TaskContext.get().partitionId(), encoder(vocabulary), END_ID.to_bytes(4, "little")
         rows: list[tuple] = []
         ids: list[int | None] = []
         parts: list[bytes] = []
@@ -193,20 +194,21 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             with store.open_output_stream(side := f"{root}/.{name}.{uuid.uuid4().hex}") as f:
                 f.write(data)
             store.move(side, f"{root}/{name}")
-            rows.append((part, len(rows), name, len(ids), len(tokens)))
+            rows.append((part, len(rows), f"{folder}/{name}", len(ids), len(tokens)))
             ids.clear()
             parts.clear()
 
-        for batch in batches:
-            for i, found in zip(batch.column(0).to_pylist(), many(batch.column(1)), strict=True):
-                ids.append(i)
-                parts.append(found.tobytes() + end)
-                held += len(parts[-1]) // 4
-                if held >= shard_tokens:
-                    close()
-                    held = 0
-        if ids:
-            close()
+        with for_task(model.words):
+            for batch in (x for whole in batches for x in slices(whole)):
+                for i, found in zip(batch.column(0).to_pylist(), model.many(batch.column(1)), strict=True):
+                    ids.append(i)
+                    parts.append(found.tobytes() + end)
+                    held += len(parts[-1]) // 4
+                    if held >= shard_tokens:
+                        close()
+                        held = 0
+            if ids:
+                close()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["part", "number", "file", "n_docs", "n_tokens"])
 
@@ -231,9 +233,10 @@ def read_documents(shards: DataFrame, path: str, id_col: str = "doc_id") -> Data
                 yield pa.RecordBatch.from_arrays([same(part), same(number), pa.array(ids, pa.int64()), pa.array(ends - lengths, pa.int64()), pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())], names=["part", "number", "id", "at", "n_tokens", "ids_crc32"])
 
     spark = shards.sparkSession
-    if not shards.head(1):
+    first = shards.select("file").first()
+    if not first:
         return spark.createDataFrame([], f"`{id_col}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.wm").load(path).select("content")
+    files = spark.read.format("binaryFile").load(f"{path}/{first['file'].split('/')[0]}/shard-*.wm").select("content")
     docs = files.mapInArrow(run, "part bigint, number bigint, id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
     # Where each shard begins: sums within a part, then over the parts, of which there is a row each.
     within = Window.partitionBy("part").orderBy("number")
