@@ -10,11 +10,17 @@ from .compose import COMPOSED, TOP_N, organisations
 CUBE = "group_items"
 
 
+def read_by_name(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet files of one table whose columns differ, united by name: what a file lacks is null there. Types must agree."""
+    return spark.read.option("mergeSchema", "true").parquet(*paths)
+
+
 class Catalog:
     """tables(name) -> DataFrame: a given DataFrame, else Parquet in the folder, else composed on the fly.
 
     A filter given by where() restricts the cube alone; questions that read other tables only
-    are not affected. A raw table that isn't there is empty.
+    are not affected. A raw table that isn't there is empty. A table that isn't stored is composed anew by each question
+    that reads it: registry.build() stores what many questions share.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, given: dict[str, DataFrame] | None = None, where: Column | None = None):
@@ -52,6 +58,19 @@ class Catalog:
     def filtered(self, where: Column | None) -> Catalog:
         return Catalog(self.spark, self.folder, self.known, where)
 
+    def names(self) -> list[str]:
+        """Tables that can be had, by name: those given, stored in the folder, or composed from raw tables."""
+        found = {*self.known, *raw_schemas(), *COMPOSED, "orgs"}
+        if self.folder is not None:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            found |= {f.getPath().getName().removesuffix(".parquet") for f in (fs.listStatus(path) if fs.exists(path) else [])}
+        return sorted(n for n in found if n[0] not in "._")
+
+    def list_tables(self) -> list[dict]:
+        """Each table's name, number of columns, and whether it is stored."""
+        return [{"table": n, "columns": len(self(n).columns), "stored": self._stored(n) is not None} for n in self.names()]
+
     def register(self, *names: str) -> None:
         """Temporary views for SQL."""
         for name in names:
@@ -68,4 +87,4 @@ class Catalog:
         return [r.asDict() for r in found[:rows]], len(found) > rows
 
 
-__all__ = ["CUBE", "TOP_N", "Catalog"]
+__all__ = ["CUBE", "TOP_N", "Catalog", "read_by_name"]

@@ -156,7 +156,7 @@ class Explorer:
         return [r.asDict() for r in self.filtered(filters).orderBy(F.rand(seed)).limit(clamp(n)).collect()]
 
     def label_table(self, iris: list[str]) -> DataFrame:
-        """(k_iri, label) of IRIs, English before untagged before others; each IRI's namespace says where to look, unknown ones are absent."""
+        """(k_iri, label) of IRIs, English before untagged before others; each IRI's namespace says where to look, unknown ones are absent. The first MOST IRIs are looked up: an answer is for a page of results."""
         iris = list(dict.fromkeys(iris))[:MOST]
         sources = {CURATED + folder: f"values_{cls}" for cls, folder in CLASS_FOLDER.items()} | {CURATED + "organization/": "values_foaf_Organization"}
         parts = []

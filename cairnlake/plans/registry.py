@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 
-from ..sources.sinks import write_table
+from ..sources.sinks import delete_table, write_table
 from ..sources.tables import LINKS, VALUES
 from .catalog import Catalog
 from .compose import COMPOSED, SORTED
@@ -32,6 +30,7 @@ class Outcome:
     written: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
+    dropped: list[str] = field(default_factory=list)
 
 
 def registry() -> dict[str, Table]:
@@ -66,9 +65,12 @@ def select(names: Iterable[str] = (), sets: Iterable[str] = (), everything: bool
     return list(dict.fromkeys(chosen))
 
 
-def build(catalog: Catalog, folder: str, names: Iterable[str], tables: dict[str, Table] | None = None, overwrite: bool = False) -> Outcome:
+def build(catalog: Catalog, folder: str, names: Iterable[str], tables: dict[str, Table] | None = None, overwrite: bool = False, drop_helpers: bool = False) -> Outcome:
     """Writes tables and what they need to folder.
 
+    A build that was broken off goes on where it stopped, as what is there stays. drop_helpers: tables that this call wrote
+    only because others needed them are deleted at the end.
+
     A table that is there is left alone, unless overwrite is set and it was named itself. A table that fails, or needs one
     that failed, is noted and the rest goes on. Later tables read what earlier ones wrote.
     """
@@ -90,23 +92,9 @@ def build(catalog: Catalog, folder: str, names: Iterable[str], tables: dict[str,
                 out.failed[name] = f"{type(e).__name__}: {e}"
                 continue
         catalog.known[name] = stored(name)
+    if drop_helpers:
+        for name in [n for n in out.written if n not in names]:
+            delete_table(catalog.spark, folder, name)
+            catalog.known.pop(name)
+            out.dropped.append(name)
     return out
-
-
-class Stages:
-    """Named steps with a checkpoint file: those that ended well are not run again."""
-
-    def __init__(self, path: str):
-        self.path = Path(path)
-        self.done: list[str] = json.loads(self.path.read_text())["done"] if self.path.exists() else []
-
-    def run(self, steps: list[tuple[str, Callable[[], object]]], redo: Iterable[str] = ()) -> list[str]:
-        ran = []
-        for name, step in steps:
-            if name in self.done and name not in set(redo):
-                continue
-            step()
-            ran.append(name)
-            self.done = [*(x for x in self.done if x != name), name]
-            self.path.write_text(json.dumps({"done": self.done}))
-        return ran

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .operators.filters import parse
 from .plans.compose import COMPOSED
 from .plans.explorer import Explorer
-from .plans.report import SECTIONS
+from .plans.report import SECTIONS, enrichment_by_provider, top_outside_hosts
 from .role_sql import QUESTIONS, with_tables
 from .roles import catalog
 
@@ -18,6 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 D = "http://data.europeana.eu/"
 FILTER = 'country=NATION_1,NATION_2,NATION_3 type=IMAGE content_tier>=1 has_subject'
 FACET = {"v_edm_type": {"kind": "in", "values": ["IMAGE", "TEXT"]}, "x_content_tier": {"kind": "range", "min": 1, "max": 3}}
+#: The questions' bounds are made for a whole union's holdings; on the driver's tables they would leave nothing.
+LEAST_LINKS, LEAST_ITEMS = 5, 3
 FACET_SQL = "v_edm_type IN ('IMAGE', 'TEXT') AND x_content_tier BETWEEN 1 AND 3"
 
 
@@ -77,6 +79,8 @@ def rights_dimension(s: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"composed_{n}": _composed(n) for n in (*COMPOSED, "orgs")}
     out |= {f"report_{s}_{q}": _question(s, q) for s, qs in SECTIONS.items() for q in qs}
+    out["report_external_links_top_outside_hosts"] = lambda s, d: top_outside_hosts(catalog(s, d), LEAST_LINKS)
+    out["report_enrichment_by_data_provider"] = lambda s, d: enrichment_by_provider(catalog(s, d), LEAST_ITEMS)
     return out | {f.__name__: f for f in (explorer_counts, explorer_cold_counts, explorer_filtered, explorer_labels, report_filtered, open_items_view, sample_items_view, rights_dimension)}
 
 
@@ -85,7 +89,10 @@ def oracle_sql() -> dict[str, str]:
     every = " UNION ALL ".join(labels.format(t=t) for t in ("values_edm_Agent", "values_edm_Place", "values_skos_Concept", "values_edm_TimeSpan", "values_foaf_Organization", "(SELECT k AS k_iri, v AS v_skos_prefLabel, l AS x_prefLabel_lang FROM own WHERE p = 'v_dc_title')"))
     out = {f"composed_{n}": f'SELECT * FROM "{n}"' for n in (*COMPOSED, "orgs")}
     out |= {f"report_{s}_{q}": sql for s, qs in QUESTIONS.items() for q, sql in qs.items()}
+    for name, bound, least in (("report_external_links_top_outside_hosts", 50000, LEAST_LINKS), ("report_enrichment_by_data_provider", 10000, LEAST_ITEMS)):
+        out[name] = out[name].replace(f">= {bound}", f">= {least}")
     out |= {
+        "sample_items_view": "SELECT item FROM (SELECT DISTINCT k_iri AS item FROM values_edm_ProvidedCHO) ORDER BY md5(item), item LIMIT 100",
         "explorer_counts": f"SELECT k_iri_entity AS value, count(DISTINCT k_iri_cho) AS items FROM explorer_concepts WHERE x_property = 'v_dc_subject' AND k_iri_cho IN (SELECT k_iri FROM group_items WHERE {FACET_SQL}) GROUP BY 1",
         "explorer_cold_counts": "SELECT k_iri_entity AS value, x_label AS label, x_item_count AS items FROM explorer_facet_top_n WHERE x_entity_class = 'edm_Agent' AND x_property = '*'",
         "explorer_filtered": f"SELECT k_iri FROM group_items WHERE {FACET_SQL} AND k_iri IN (SELECT k_iri_cho FROM map_cho_mimetypes WHERE v_mime_type = 'application/pdf') AND k_iri IN (SELECT k_iri_cho FROM map_cho_mimetypes WHERE v_mime_type = 'image/jpeg')",

@@ -146,7 +146,7 @@ QUESTIONS = {
 WHEN starts_with(v_owl_sameAs, 'file://') THEN 'malformed: non_lod_scheme (file://)' WHEN NOT regexp_matches(v_owl_sameAs, '^https?://') THEN 'malformed: non_lod_scheme (other)' ELSE 'malformed: bad_authority' END AS bucket, count(*) AS sameas_links, count(DISTINCT v_owl_sameAs) AS distinct_iris, {ALL} AS pct_of_links FROM "map_sameAs" GROUP BY 1""",
         "links_by_authority": "SELECT x_authority AS authority, count(DISTINCT v_owl_sameAs) AS distinct_external_iris, count(*) AS sameas_links FROM sa GROUP BY 1",
         "entities_linked_by_authority": f"SELECT x_entity_class AS entity_class, x_authority AS authority, count(DISTINCT k_iri) AS linked_entities, any_value(n) AS total_entities, {pct('count(DISTINCT k_iri)', 'any_value(n)')} AS pct_of_class FROM sa JOIN ({_all('SELECT {c!r} AS c, count(DISTINCT k_iri) AS n FROM values_{c}')}) ON c = x_entity_class GROUP BY 1, 2",
-        "top_outside_hosts": "SELECT regexp_extract(v_owl_sameAs, 'https?://([^/]+)', 1) AS host, count(*) AS sameas_links, count(DISTINCT v_owl_sameAs) AS distinct_iris, count(DISTINCT k_iri) AS linked_entities FROM \"map_sameAs\" WHERE x_well_formed AND NOT x_metis_known GROUP BY 1 HAVING count(*) >= 50000",
+        "top_outside_hosts": "SELECT regexp_extract(v_owl_sameAs, 'https?://([^/]+)', 1) AS host, count(*) AS sameas_links, count(DISTINCT v_owl_sameAs) AS distinct_iris, count(DISTINCT k_iri) AS linked_entities FROM \"map_sameAs\" WHERE x_well_formed AND NOT x_metis_known GROUP BY 1 HAVING count(*) >= 50000 ORDER BY sameas_links DESC, host LIMIT 25",
         "item_coverage_by_authority": f"SELECT x_authority AS authority, count(DISTINCT k_iri_cho) AS chos_linked, {pct('count(DISTINCT k_iri_cho)', '(SELECT count(*) FROM group_items)')} AS pct_of_chos FROM map_cho_entities m JOIN sa ON sa.k_iri = m.k_iri_entity GROUP BY 1",
         "dereferencing_coverage": f"SELECT authority, count(*) AS distinct_refs, count_if(here) AS dereferenced, {share('here')} AS pct_dereferenced FROM (SELECT DISTINCT x_authority AS authority, v_owl_sameAs AS i, v_owl_sameAs IN ({_all('SELECT k_iri FROM values_{c}')}) AS here FROM sa) GROUP BY 1",
         "multi_authority_overlap": hist("(SELECT count(DISTINCT x_authority) AS n FROM sa GROUP BY k_iri)", "n", "n_authorities", "entities"),
@@ -163,7 +163,7 @@ WHEN starts_with(v_owl_sameAs, 'file://') THEN 'malformed: non_lod_scheme (file:
         "multilingual_depth_by_class": "SELECT x_entity_class AS entity_class, count(*) AS items_linked, " + ", ".join(f"count_if(m >= {n}) AS with_{n}plus_langs, {share(f'm >= {n}')} AS pct_{n}plus_langs" for n in (5, 10, 20)) + " FROM (SELECT k_iri_cho, x_entity_class, max(coalesce(d, 0)) AS m FROM ol LEFT JOIN dep USING (x_entity_class, k_iri_entity) GROUP BY 1, 2) GROUP BY 1",
         **{f"top_{n}s": top_entities(c, n) for c, n in (("skos_Concept", "concept"), ("edm_Place", "place"), ("edm_Agent", "agent"))},
         "by_edm_type": f"SELECT v_edm_type AS type, count(*) AS open_items, count_if(x) AS enriched_items, {share('x')} AS pct_enriched FROM (SELECT *, k_iri IN (SELECT k_iri_cho FROM map_cho_entities) AS x FROM oi) GROUP BY 1",
-        "by_data_provider": f"SELECT coalesce(name, p) AS data_provider, open_items, enriched_items, pct_enriched FROM (SELECT v_edm_dataProvider AS p, count(*) AS open_items, count_if(x) AS enriched_items, {share('x')} AS pct_enriched FROM (SELECT *, k_iri IN (SELECT k_iri_cho FROM map_cho_entities) AS x FROM oi) WHERE p IS NOT NULL GROUP BY 1 HAVING count(*) >= 10000) LEFT JOIN orgs ON k_iri = p",
+        "by_data_provider": f"SELECT coalesce(name, p) AS data_provider, open_items, enriched_items, pct_enriched FROM (SELECT v_edm_dataProvider AS p, count(*) AS open_items, count_if(x) AS enriched_items, {share('x')} AS pct_enriched FROM (SELECT *, k_iri IN (SELECT k_iri_cho FROM map_cho_entities) AS x FROM oi) WHERE p IS NOT NULL GROUP BY 1 HAVING count(*) >= 10000) LEFT JOIN orgs ON k_iri = p ORDER BY pct_enriched DESC, open_items DESC, data_provider LIMIT 25",
     },
     "open_images": {
         "tier_funnel": "SELECT count(*) AS total_open_images, count_if(s) AS with_any_subject, count_if(c) AS with_long_caption, count_if(c AND s) AS caption_plus_any_subject, count_if(e) AS with_enriched_subject, count_if(c AND e) AS caption_plus_enriched, count_if(c AND s AND e) AS premium_triple_all_three FROM imf",

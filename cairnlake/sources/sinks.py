@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,12 +22,34 @@ def write_table(df: DataFrame, folder: str, name: str, sorted_by: Sequence[str]
     return path
 
 
+def delete_table(spark: SparkSession, folder: str, name: str) -> None:
+    """Deletes a table that write_table wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}" if name.startswith("links_") else f"{folder}/{name}.parquet")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_jsonl(df: DataFrame, path: str) -> None:
+    """One JSON object a line, nulls written out."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def file_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, bytes, sha256) of the data files under a folder, hashed where they are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
+    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
 CARD_TYPES = {"string": "sc:Text", "bigint": "sc:Integer", "int": "sc:Integer", "double": "sc:Float", "boolean": "sc:Boolean", "timestamp": "sc:DateTime"}
 
 
-def dataset_card(name: str, description: str, tables: dict[str, DataFrame], licence: str | None = None) -> dict:
-    """A JSON-LD description: a file set and a record set with typed fields for each table."""
+def dataset_card(name: str, description: str, tables: dict[str, DataFrame], licence: str | None = None, digests: DataFrame | None = None) -> dict:
+    """A JSON-LD description: a file set and a record set with typed fields for each table.
+
+    digests (of file_digests) adds each file with its size and SHA-256: a row of the description for each file.
+    """
     files = [{"@type": "cr:FileSet", "@id": n, "name": n, "encodingFormat": "application/x-parquet", "includes": f"{n}.parquet/*.parquet"} for n in sorted(tables)]
+    for r in digests.orderBy("path").collect() if digests is not None else []:
+        files.append({"@type": "cr:FileObject", "@id": r["path"], "contentUrl": r["path"], "encodingFormat": "application/x-parquet", "contentSize": f"{r['bytes']} B", "sha256": r["sha256"]})
     records = [
         {"@type": "cr:RecordSet", "@id": f"{n}-records", "name": n, "field": [{"@type": "cr:Field", "@id": f"{n}/{f.name}", "name": f.name, "dataType": CARD_TYPES.get(f.dataType.simpleString(), "sc:Text"), "source": {"fileSet": {"@id": n}, "extract": {"column": f.name}}} for f in df.schema]}
         for n, df in sorted(tables.items())

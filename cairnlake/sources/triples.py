@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,21 @@ def checked_files(spark: SparkSession, path: str) -> DataFrame:
     return data.join(sums, "path", "left").withColumn("matches", F.col("md5") == F.col("expected"))
 
 
+def verified(spark: SparkSession, path: str, policy: str = "strict") -> DataFrame:
+    """checked_files under a policy for files that differ from their sum: "strict" raises, "warn" keeps them with a warning, "skip" leaves them out. Files without a sum are kept."""
+    if policy not in ("strict", "warn", "skip"):
+        raise ValueError(f"no policy {policy}")
+    files = checked_files(spark, path)
+    if policy == "skip":
+        return files.where("matches is null or matches")
+    bad = [r["path"] for r in files.where("not matches").select("path").orderBy("path").limit(10).collect()]
+    if bad and policy == "strict":
+        raise ValueError(f"files differ from their MD5 sums, among them {', '.join(bad)}")
+    if bad:
+        warnings.warn(f"files differ from their MD5 sums, among them {', '.join(bad)}", stacklevel=2)
+    return files
+
+
 def prefixes(spark: SparkSession, path: str) -> DataFrame:
     """Different (prefix, namespace) declarations of Turtle files."""
     found = F.regexp_extract("value", r"(?i)^\s*(?:@prefix|prefix)\s+([\w.-]*):\s*<([^>]*)>", 1), F.regexp_extract("value", r"(?i)^\s*(?:@prefix|prefix)\s+([\w.-]*):\s*<([^>]*)>", 2)

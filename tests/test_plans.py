@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnlake.operators import filters, graph
-from cairnlake.plans import registry, report
-from cairnlake.plans.catalog import Catalog
+from cairnlake.plans import compose, registry, report
+from cairnlake.plans.catalog import Catalog, read_by_name
 from cairnlake.plans.explorer import Explorer
 from cairnlake.sources import tables as T
 from cairnlake.sources import triples as R
@@ -187,12 +187,45 @@ def test_closure_and_failures(spark, catalog, tmp_path):
     assert out.written == ["z"] and set(out.failed) == {"x", "y"}
 
 
-def test_stages(tmp_path):
-    ran = []
-    steps = [("a", lambda: ran.append("a")), ("b", lambda: ran.append("b"))]
-    registry.Stages(str(tmp_path / "s.json")).run(steps)
-    registry.Stages(str(tmp_path / "s.json")).run(steps, redo=["b"])
-    assert ran == ["a", "b", "b"]
+def test_helpers_can_be_dropped(spark, catalog, tmp_path):
+    tables = {"h": registry.Table("h", (), lambda c: c.spark.range(3)), "t": registry.Table("t", ("h",), lambda c: c("h").selectExpr("id + 1 as id"))}
+    out = registry.build(Catalog(spark), str(tmp_path), ["t"], tables, drop_helpers=True)
+    assert out.written == ["h", "t"] and out.dropped == ["h"]
+    stored = Catalog(spark, str(tmp_path))
+    assert stored._stored("h") is None and rows(stored("t"), "id") == [(1,), (2,), (3,)]
+
+
+def test_selection():
+    assert registry.select(["x", "group_items"], ["group"]) == ["x", "group_items"]
+    assert set(registry.select(everything=True)) == {*registry.RAW, *registry.SETS["pipeline"]}
+
+
+def test_catalog_sql_and_lists(spark, tmp_path):
+    catalog = Catalog(spark, given={"map_rights": spark.createDataFrame([("u", "cc-by-nc", False), ("v", "pdm", True)], "k_iri string, x_family string, x_is_open boolean")})
+    catalog.register("map_rights")
+    found, more = catalog.sql("SELECT x_family FROM map_rights ORDER BY 1", rows=1)
+    assert found == [{"x_family": "cc-by-nc"}] and more
+    assert catalog.sql("SELECT count(*) AS n FROM map_rights")[0] == [{"n": 2}]
+    about = catalog.describe("map_rights", 1)
+    assert about["table"] == "map_rights" and ("x_is_open", "boolean") in about["columns"] and len(about["sample"]) == 1
+    spark.range(2).write.parquet(str(tmp_path / "mine.parquet"))
+    listed = {x["table"]: x for x in Catalog(spark, str(tmp_path)).list_tables()}
+    assert listed["mine"] == {"table": "mine", "columns": 1, "stored": True} and not listed["group_items"]["stored"]
+
+
+def test_read_by_name(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "a bigint, b string").write.parquet(str(tmp_path / "1.parquet"))
+    spark.createDataFrame([("y", True)], "b string, c boolean").write.parquet(str(tmp_path / "2.parquet"))
+    got = read_by_name(spark, str(tmp_path / "1.parquet"), str(tmp_path / "2.parquet"))
+    assert sorted(map(tuple, got.select("a", "b", "c").collect()), key=str) == [(1, "x", None), (None, "y", True)]
+
+
+def test_provider_location_and_sample(spark):
+    proxies = spark.createDataFrame([("p1", "i1", None, "b"), ("p2", "i1", "false", "c"), ("p3", "i1", "true", "z"), ("p4", "i2", None, None)], "k_iri string, k_iri_cho string, v_edm_europeanaProxy string, v_edm_currentLocation string")
+    got = compose.provider_location(Catalog(spark, given={"values_ore_Proxy": proxies}))
+    assert rows(got, "k_iri_cho", "v_edm_currentLocation") == [("i1", "c"), ("i2", None)]
+    items = spark.createDataFrame([("i1",), ("i9",)], "item string")
+    assert rows(graph.sampled(proxies, items, "k_iri_cho"), "k_iri") == [("p1",), ("p2",), ("p3",)]
 
 
 def test_invariants(catalog):

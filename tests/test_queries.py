@@ -25,3 +25,9 @@ def test_entry_has_no_hidden_names(spark):
     assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_approximate_count_is_near(spark, duck, sf_dir):
+    exact = dict(duck.execute("SELECT o_orderstatus, count(DISTINCT o_custkey) FROM orders GROUP BY 1").fetchall())
+    found = {r["o_orderstatus"]: r["customers"] for r in QUERIES["approx_distinct"](spark, sf_dir).collect()}
+    assert found.keys() == exact.keys() and all(abs(found[k] - n) <= max(2, 0.15 * n) for k, n in exact.items())

@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cairnlake.operators import graph
 from cairnlake.sources import sinks
 from cairnlake.sources import triples as R
+from cairnlake.sources.turtle import read_turtle
 from cairnlake.streaming.facets import first_seen, windowed_counts
 
 
@@ -79,11 +81,59 @@ def test_first_seen(spark, tmp_path, sf_dir):
     assert spark.table("seen").count() == e.select("user_id", "event_type").distinct().count()
 
 
-def test_plan_analysis(spark, sf_dir):
-    from cairnlake.plans.analysis import analyse, misjudged
+def test_policies_for_damaged_files(spark, tmp_path):
+    (tmp_path / "a.nt").write_text("x")
+    (tmp_path / "a.nt.md5").write_text("0" * 32)
+    (tmp_path / "b.nt").write_text("y")
+    with pytest.raises(ValueError, match="a.nt"):
+        R.verified(spark, str(tmp_path))
+    with pytest.warns(UserWarning, match="a.nt"):
+        assert R.verified(spark, str(tmp_path), "warn").count() == 2
+    assert [r["path"][-4:] for r in R.verified(spark, str(tmp_path), "skip").collect()] == ["b.nt"]
+    with pytest.raises(ValueError):
+        R.verified(spark, str(tmp_path), "no")
+
+
+TURTLE = r'''@prefix ex: <http://ex/> . PREFIX b: <http://b/>
+@base <http://base/dir/> .
+ex:s a ex:T ; ex:p "one"@EN-gb , "two"^^ex:d, 'th\u0072ee' ;; b:q.r <x> . # end
+<y> ex:n 5 , -1.5, 2e3, true ; ex:l """long "quoted"
+text""" ; ex:o _:n1 .
+_:n1 ex:p [ ex:q ex:a\,b ; ex:r [] ] .
+[ ex:q 1 ] .
+'''
+
+
+def test_turtle(spark, tmp_path):
+    (tmp_path / "a.ttl").write_text(TURTLE)
+    (tmp_path / "empty.ttl").write_text("# nothing\n")
+    got = read_turtle(spark, str(tmp_path)).collect()
+    assert all(r["problem"] is None and r["file"].endswith("a.ttl") for r in got)
+    short = lambda x: x.replace("http://", "").split("#")[-1] if x and not x.startswith("_:") else x and "_"
+    rows = [(short(r["s"]), short(r["p"]), short(r["o"]), r["o_kind"], r["o_lang"], short(r["o_datatype"])) for r in got]
+    assert rows == [
+        ("ex/s", "type", "ex/T", "iri", None, None), ("ex/s", "ex/p", "one", "literal", "en-gb", None), ("ex/s", "ex/p", "two", "literal", None, "ex/d"), ("ex/s", "ex/p", "three", "literal", None, None),
+        ("ex/s", "b/q.r", "base/dir/x", "iri", None, None),
+        ("base/dir/y", "ex/n", "5", "literal", None, "integer"), ("base/dir/y", "ex/n", "-1.5", "literal", None, "decimal"), ("base/dir/y", "ex/n", "2e3", "literal", None, "double"), ("base/dir/y", "ex/n", "true", "literal", None, "boolean"),
+        ("base/dir/y", "ex/l", 'long "quoted"\ntext', "literal", None, None), ("base/dir/y", "ex/o", "_", "bnode", None, None),
+        ("_", "ex/q", "ex/a,b", "iri", None, None), ("_", "ex/r", "_", "bnode", None, None), ("_", "ex/p", "_", "bnode", None, None), ("_", "ex/q", "1", "literal", None, "integer"),
+    ]
+
+
+def test_turtle_that_is_damaged(spark, tmp_path):
+    (tmp_path / "a.ttl").write_text("<http://a> <http://p> 1 .\n<http://a> ex:p 2 .")
+    got = read_turtle(spark, str(tmp_path), strict=False).collect()
+    assert [(r["o"], r["problem"]) for r in got] == [("1", None), (None, "no prefix 'ex'")]
+    with pytest.raises(Exception, match="no prefix"):
+        read_turtle(spark, str(tmp_path)).collect()
+
+
+def test_json_lines_and_digests(spark, tmp_path):
+    import hashlib
 
-    o, li = spark.read.parquet(f"{sf_dir}/orders.parquet"), spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    plan = analyse(o.join(li, o["o_orderkey"] == li["l_orderkey"]).groupBy("o_orderstatus").count())
-    assert plan.operators["join"] == 1 and plan.operators["scan"] == 2 and plan.operators["aggregate"] == 2 and not plan.warnings
-    assert "a join without an equal key" in analyse(o.join(li, o["o_orderkey"] < li["l_orderkey"])).warnings
-    assert misjudged(spark.range(100)) == (100, 100, False)
+    sinks.write_jsonl(spark.createDataFrame([(1, None)], "a bigint, b string"), str(tmp_path / "j"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "j")).collect()] == ['{"a":1,"b":null}']
+    sinks.write_table(spark.range(3), str(tmp_path / "t"), "x")
+    card = sinks.dataset_card("n", "d", {"x": spark.range(3)}, digests=sinks.file_digests(spark, str(tmp_path / "t")))
+    files = [f for f in card["distribution"] if f["@type"] == "cr:FileObject"]
+    assert files and all(f["sha256"] == hashlib.sha256(open(f["contentUrl"].removeprefix("file:"), "rb").read()).hexdigest() for f in files)
