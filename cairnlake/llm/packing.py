@@ -66,7 +66,7 @@ def pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, vocabulary:
 
         part, made, model = TaskContext.get().partitionId(), Tally(), encoder(vocabulary)
         end, names = END_ID.to_bytes(4, "little"), [id_col, "start", "length", "ids_crc32", "doc_tokens", "class", "part", "at"]
-        with for_task(model.words):
+        with for_task():
             for batch in (x for whole in batches for x in slices(whole)):
                 rows: list[tuple] = []
                 for i, found in enumerate(model.many(batch.column(1))):

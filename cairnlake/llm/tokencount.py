@@ -1,11 +1,11 @@
 """Token counts by heap-and-linked-list byte-pair merging.
 
-The symbols of a piece are its bytes, held in a linked list. A heap has the ranks of the adjacent
-pairs, and for each rank the places of its pairs; the lowest rank is popped, its pairs are
-joined from the left, and each join offers the two new neighbours. The count is the number of bytes
-minus the merges made; no token identifier is ever looked up or emitted.
+The symbols of a piece are its bytes, held in a linked list. A heap gives the
+adjacent pair of lowest rank, leftmost first; popping it joins the pair and offers
+the two new neighbours. The count is the number of bytes minus the merges made; no
+token identifier is ever looked up or emitted.
 
-A piece of n bytes takes some 25 n bytes of memory: links, symbols and places are plain arrays where it is long.
+A long piece of n bytes takes some 25 n bytes of memory: links, symbols and places are plain arrays there.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ if TYPE_CHECKING:
 # Fixed value: the splitting pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pieces of so many bytes are held in arrays.
-LONG = 4096
+#: Pieces of so many bytes are held in arrays; remembered counts may take so much memory in a worker.
+LONG, MEMO_BYTES = 4096, 90_000_000
 
 
 def merge_table(ranks: dict[tuple[bytes, bytes], int]) -> dict[tuple[int, int], tuple[int, int]]:
@@ -59,7 +59,7 @@ class Counter:
         self.added = tuple(x["content"] for x in spec["added_tokens"])
         self.at_added = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.pieces = regex.compile(SPLIT).finditer
-        self.words = Words(lambda x: self.of_piece(x.encode()), self.of_part, self.added)
+        self.words = Words(lambda x: self.of_piece(x.encode()), self.of_part, self.added, MEMO_BYTES)
 
     @cached_property
     def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
@@ -67,17 +67,42 @@ class Counter:
 
     def of_piece(self, data: bytes) -> int:
         n = len(data)
-        if n < 2:
-            return n
-        find, many = self.merges.get, (list if n < LONG else lambda x: array("i", x))
-        symbol, after, before = many(data), many(range(1, n + 1)), many(range(-1, n - 1))
-        places: dict[int, list | array] = {}
+        if n >= LONG:
+            return self.of_long(data)
+        rank = self.ranks.get
+        symbol: list[bytes | None] = [data[i : i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, 2) for i in range(n - 1) if (r := rank((symbol[i], symbol[i + 1]))) is not None]
+        heapq.heapify(heap)
+        merges = 0
+        while heap:
+            _, i, size = heapq.heappop(heap)
+            left = symbol[i]
+            if left is None or (j := after[i]) >= n or len(left) + len(symbol[j]) != size:
+                continue  # one of the two has been merged since
+            both = symbol[i] = left + symbol[j]
+            symbol[j] = None
+            merges += 1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank((both, symbol[k]))) is not None:
+                    heapq.heappush(heap, (r, i, size + len(symbol[k])))
+            if (h := before[i]) >= 0 and (r := rank((symbol[h], both))) is not None:
+                heapq.heappush(heap, (r, h, len(symbol[h]) + size))
+        return n - merges
+
+    def of_long(self, data: bytes) -> int:
+        """The same for a long piece, in plain arrays: the heap has ranks alone, and each rank the places of its pairs."""
+        n, find = len(data), self.merges.get
+        symbol, after, before = array("i", np.frombuffer(data, np.uint8).astype(np.int32).tobytes()), array("i", range(1, n + 1)), array("i", range(-1, n - 1))
+        places: dict[int, array] = {}
         heap: list[int] = []
 
         def offer(i: int, j: int) -> None:
             if (m := find((symbol[i], symbol[j]))) is not None:
                 if (there := places.get(m[0])) is None:
-                    places[m[0]] = many((i,))
+                    places[m[0]] = array("i", (i,))
                     heapq.heappush(heap, m[0])
                 else:
                     there.append(i)
@@ -87,7 +112,7 @@ class Counter:
         merges = 0
         while heap:
             rank = heapq.heappop(heap)
-            there = sorted(places.pop(rank)) if n < LONG else np.sort(np.frombuffer(places.pop(rank), np.int32))
+            there = np.sort(np.frombuffer(places.pop(rank), np.int32))
             for at, i in enumerate(there):
                 # A place may be old: one of the two symbols has been joined since.
                 if symbol[i] < 0 or (j := after[i]) >= n or (m := find((symbol[i], symbol[j]))) is None or m[0] != rank:
@@ -101,7 +126,7 @@ class Counter:
                 if (h := before[i]) >= 0:
                     offer(h, i)
                 if heap and heap[0] < rank:  # not in a vocabulary that was learnt: its longer symbols come later
-                    places[rank] = many(there[at + 1 :])
+                    places[rank] = array("i", there[at + 1 :].tobytes())
                     heapq.heappush(heap, rank)
                     break
         return n - merges
@@ -162,7 +187,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow.compute as pc
 
         model = counter(path)
-        with for_task(model.words):
+        with for_task():
             for batch in (x for whole in batches for x in slices(whole)):
                 counts = model.many(batch.column(1))
                 sizes = pc.binary_length(batch.column(1)).cast(pa.int64())

@@ -22,7 +22,7 @@ if TYPE_CHECKING:
     import pyarrow as pa
 
 #: Memory that remembered words may take in a worker (by an estimate of each entry), bytes of text that are cut at once, and words whose ids are put together at once.
-MEMO_BYTES, CHUNK_BYTES, GATHER_WORDS = 30_000_000, 2_000_000, 200_000
+MEMO_BYTES, CHUNK_BYTES, GATHER_WORDS = 30_000_000, 3_000_000, 200_000
 #: What an entry takes besides the bytes of its word and value.
 ENTRY_BYTES = 160
 CUT = "\x00"
@@ -68,8 +68,8 @@ class Memo(dict):
 class Words:
     """Cuts plain texts into words and gives their values: piece() of a single piece, value() of any text; values can be added."""
 
-    def __init__(self, piece: Callable[[str], Any], value: Callable[[str], Any], never: tuple[str, ...] = ()):
-        self.memo, self.value, self.never = Memo(piece), value, never
+    def __init__(self, piece: Callable[[str], Any], value: Callable[[str], Any], never: tuple[str, ...] = (), most: int | None = None):
+        self.memo, self.value, self.never = Memo(piece, most), value, never
 
     def of(self, words: list[str]) -> list:
         out, memo = [], self.memo
@@ -200,14 +200,13 @@ def encoder(path: str) -> Encoder:
 
 
 @contextmanager
-def for_task(words: Words) -> Iterator[None]:
-    """At the end of a task the words it remembered and Arrow's unused memory are given back: a worker process outlives its tasks."""
+def for_task() -> Iterator[None]:
+    """At the end of a task Arrow's unused memory is given back: a worker process outlives its tasks. Words stay remembered, in a bounded memory."""
     import pyarrow as pa
 
     try:
         yield
     finally:
-        words.memo.forget()
         pa.default_memory_pool().release_unused()
 
 

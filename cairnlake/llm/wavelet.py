@@ -198,7 +198,7 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             ids.clear()
             parts.clear()
 
-        with for_task(model.words):
+        with for_task():
             for batch in (x for whole in batches for x in slices(whole)):
                 for i, found in zip(batch.column(0).to_pylist(), model.many(batch.column(1)), strict=True):
                     ids.append(i)
