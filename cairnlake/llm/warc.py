@@ -31,11 +31,14 @@ RAW = ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "nofr
 UNSEEN_RAW = ("script", "style", "title", "iframe", "noembed", "noframes")
 UNSEEN = ("head", "noscript", "template")
 OF_HEAD = ("title", "meta", "link", "script", "style", "base", "basefont", "bgsound", "noscript", "template", "head", "html")
-BREAKS = tuple("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 section article header footer nav main aside blockquote pre title body hr dd dt dl form figure".split())
+BREAKS = frozenset("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 section article header footer nav main aside blockquote pre title body hr dd dt dl form figure".split())
 
 NAME, ATTRIBUTE = re.compile(r"[^\s/>]*").match, re.compile(r"[\s/]*(?:([^\s/>=][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*|(?=>)))?|(>)|(=))").match
+#: A tag without surprises: quotes only around values, no "<" within.
+EASY = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*+)(?=[\s/>])(?:[^<>\"'=]++|(?<![\s/])=\s*+(?:\"[^\"<]*+\"|'[^'<]*+'|(?=[^\"'\s=<>])))*+>").match
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I).search for name in RAW}
-SPACES, LINES = re.compile(r"[ \t\r\f\v\u00a0]+"), re.compile(r" ?\n[ \n]*")
+# Runs of spaces that aren't one plain space, and the ends of lines.
+SPACES, LINES = re.compile(r" [ \t\r\f\v\u00a0]+|[\t\r\f\v\u00a0][ \t\r\f\v\u00a0]*"), re.compile(r" ?\n[ \n]*")
 SCHEMA = "record_type string, record_id string, refers_to string, target_uri string, date string, content_type string, content_length bigint, block_digest string, source_block_digest string, source_payload_digest string, source_headers map<string,string>, block string"
 DATE = "2024-01-01T00:00:00Z"
 #: A record's head may be so long; a member of a compressed file is unpacked in steps of so many bytes.
@@ -66,64 +69,69 @@ def tag_at(page: str, at: int) -> tuple[str, str | None, int]:
     return name[0].lower(), href, -1
 
 
-def parts_of(page: str) -> Iterator[tuple[str, str, str | None]]:
-    """(kind, value, href) from front to back: text, start and end (value: the name), gap (a comment or the like), raw (what a raw element holds, href: its name)."""
-    at, size = 0, len(page)
+def read_page(page: str) -> tuple[str, list[str], str | None]:
+    """(text, link targets in order, title): the visible text, with no scripts, styles, comments or tags and one line for each block of the page."""
+    out: list[str] = []
+    links: list[str] = []
+    title, at, size = None, 0, len(page)
+    head, depth = 0, 0  # open heads, and open elements of the other kinds that hide
+    opened = dict.fromkeys(UNSEEN, 0)
     while at < size:
         lt = page.find("<", at)
         if lt < 0 or lt + 1 >= size:
-            yield "text", page[at:], None
-            return
-        after = page[lt + 1]
-        if after in "!?" or (after == "/" and not page[lt + 2 : lt + 3].isalpha()):
-            if lt > at:
-                yield "text", page[at:lt], None
-            comment = page.startswith("<!--", lt)
-            end = page.find("-->", lt + 2) if comment else page.find(">", lt)
-            yield "gap", "", None
-            if end < 0:
-                return
-            at = end + (3 if comment else 1)
-        elif after == "/" or (after.isascii() and after.isalpha()):
-            if lt > at:
-                yield "text", page[at:lt], None
-            name, href, at = tag_at(page, lt + 1 + (after == "/"))
-            if at < 0:
-                return
-            yield ("end" if after == "/" else "start"), name, href
-            if after != "/" and name in RAW:
-                found = RAW_END[name](page, at)
-                yield "raw", page[at : found.start() if found else size], name
-                at = found.start() if found else size
+            lt = size
+        if lt > at and not (head or depth):
+            out.append(html.unescape(page[at:lt]))
+        if lt == size:
+            break
+        if m := EASY(page, lt):
+            closing, name, href, at = m[1], m[2].lower(), None, m.end()
+            if name == "a" and not closing:
+                href = tag_at(page, lt + 1)[1]
         else:
-            yield "text", page[at : lt + 1], None
-            at = lt + 1
-
-
-def read_page(page: str) -> tuple[str, list[str], str | None]:
-    """(text, link targets in order, title): the visible text, with no scripts, styles, comments or tags and one line for each block of the page."""
-    out, links, title = [], [], None
-    hidden = dict.fromkeys(UNSEEN, 0)
-    for kind, value, more in parts_of(page):
-        if kind == "start" and value not in OF_HEAD:
-            hidden["head"] = 0  # what doesn't belong into a head ends it
-        seen = not any(hidden.values())
-        if kind == "text" and seen:
-            out.append(html.unescape(value))
-        elif kind == "raw":
-            if more == "title" and title is None:
-                title = " ".join(html.unescape(value).split())
-            if seen and more not in UNSEEN_RAW:
-                out.append(html.unescape(value))
-        elif kind in ("start", "end") and value in UNSEEN:
-            hidden[value] = max(0, hidden[value] + (1 if kind == "start" else -1))
-            out.append(" ")
-        elif kind in ("start", "end") and seen:
-            out.append("\n" if value in BREAKS else " " if value in RAW else "")
-            if kind == "start" and value == "a" and more is not None:
-                links.append(html.unescape(more).strip())
-        elif kind == "gap":
+            after = page[lt + 1]
+            if after in "!?" or (after == "/" and not page[lt + 2 : lt + 3].isalpha()):
+                comment = page.startswith("<!--", lt)
+                end = page.find("-->", lt + 2) if comment else page.find(">", lt)
+                out.append(" ")
+                if end < 0:
+                    break
+                at = end + (3 if comment else 1)
+                continue
+            if not (after == "/" or (after.isascii() and after.isalpha())):
+                if not (head or depth):
+                    out.append("<")
+                at = lt + 1
+                continue
+            closing = "/" if after == "/" else ""
+            name, href, at = tag_at(page, lt + 1 + len(closing))
+            if at < 0:
+                break
+        if not closing and head and name not in OF_HEAD:
+            head = 0  # what doesn't belong into a head ends it
+        if name in UNSEEN:
+            if name == "head":
+                head = max(0, head - 1) if closing else head + 1
+            elif not closing or opened[name]:
+                step = -1 if closing else 1
+                opened[name] += step
+                depth += step
             out.append(" ")
+        elif not (head or depth):
+            if name in BREAKS:
+                out.append("\n")
+            elif name in RAW:
+                out.append(" ")
+            if href is not None and not closing:
+                links.append(html.unescape(href).strip())
+        if name in RAW and not closing:
+            found = RAW_END[name](page, at)
+            end = found.start() if found else size
+            if name == "title" and title is None:
+                title = " ".join(html.unescape(page[at:end]).split())
+            if name not in UNSEEN_RAW and not (head or depth):
+                out.append(html.unescape(page[at:end]))
+            at = end
     return LINES.sub("\n", SPACES.sub(" ", "".join(out))).strip(), links, title
 
 
@@ -384,8 +392,8 @@ def parse_warc(f) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
             broken, held, at = False, bytearray(), 0
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """All records of WARC files: (headers map, block binary, problem). problem is null for whole records, and says for a damaged one what is wrong.
+def read_warc(spark: SparkSession, path: str, damaged: bool = False) -> DataFrame:
+    """All whole records of WARC files: (headers map, block binary). With damaged, also those that are damaged, and problem, which says what is wrong with them and is null for whole ones.
 
     A file is streamed by one task, which holds one record at a time; files may have any size. Empty files give no rows.
     """
@@ -413,4 +421,5 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     yield batch_of(rows)
 
     files = spark.read.format("binaryFile").load(path).select("path")
-    return files.mapInArrow(run, "headers map<string,string>, block binary, problem string")
+    rows = files.mapInArrow(run, "headers map<string,string>, block binary, problem string")
+    return rows if damaged else rows.where("problem is null").drop("problem")
