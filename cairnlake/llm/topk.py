@@ -96,8 +96,8 @@ def as_columns(score: int) -> tuple[int, str, int]:
     return -1, f"{9999 - len(digits):04d}" + digits.translate(str.maketrans("0123456789", "9876543210")), -(1 << 63)
 
 
-def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_every: int = 50, k: int = 5, scale: int = 256) -> DataFrame:
-    """The k best candidates of every query by integer inner product: (query_id, rank, vec_id, score, beyond).
+def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_every: int = 50, k: int = 5, scale: int = 256, beyond: bool = False) -> DataFrame:
+    """The k best candidates of every query by integer inner product: (query_id, rank, vec_id, score).
 
     Queries are the rows whose id is divisible by query_every, candidates all rows but
     the query's own id; ties go to the smaller id. Vectors that are null or hold a null or
@@ -105,8 +105,8 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     length than the query's are no candidates; the score of empty vectors is 0. A repeated row (same id and vector) counts
     once; other columns take no part. An empty table gives an empty result.
 
-    Ranks are exact for every finite vector. beyond is false where score is the score; where that doesn't fit
-    in 64 bits beyond is true, and score is the greatest or least long, on its side.
+    Ranks are exact for every finite vector. A score that doesn't fit in 64 bits is given as the greatest or least
+    long, on its side; with beyond, a column of that name says whether it is so.
 
     Queries come in blocks of QUERIES and candidates in blocks of about CANDIDATES, and each
     pair of blocks meets in one task by an equal key; what a task holds doesn't grow with the data.
@@ -140,4 +140,4 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     first = F.row_number().over(Window.partitionBy("query_id", "vec_id").orderBy(*best))
     found = found.withColumn("of_pair", first).where("of_pair = 1")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*best, "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", (F.col("side") != 0).alias("beyond"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", *([(F.col("side") != 0).alias("beyond")] if beyond else []))
