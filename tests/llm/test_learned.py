@@ -1,4 +1,5 @@
 import itertools
+import random
 from zlib import crc32
 
 import numpy as np
@@ -86,3 +87,48 @@ def test_quality_rows(spark):
     rows = quality.score(df, model).collect()
     assert sorted(r["n_lines"] for r in rows) == [1, 1, 2] and all(0 <= r["score"] <= 1 for r in rows)
     assert quality.score(df.limit(0), model).count() == 0
+
+
+def test_lines_of_any_number_and_length(monkeypatch):
+    rng = random.Random(2)
+    texts = ["\n".join(rng.choice(["A good line of words.", "*** ### ***", "", "WORD word word!! http://x 12|3"]) for _ in range(n)) for n in (1, 3, 200)] + ["", "\n", "é" * 50, "a" * 3000, "tail\n"]
+    model = quality.fit(texts, [1, 0, 1, 0, 1, 0, 1, 0], steps=10)
+    s = quality.Scorer(model)
+    whole = [s.many(*quality.of_text(t))[0] for t in texts]
+    data = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, data)]).astype(np.int32)
+    many = lambda: s.many(np.frombuffer(b"".join(data), np.uint8), offsets)
+    assert np.allclose(many(), whole)  # a text's score doesn't depend on those beside it
+    monkeypatch.setattr(quality, "WINDOW_BYTES", 64)
+    monkeypatch.setattr(quality, "AT_ONCE", 7)
+    assert np.allclose(many(), whole)
+    monkeypatch.setattr(quality, "LINE_BYTES", 1000)
+    assert [n for _, _, n in many()] == [1, 3, 200, 1, 2, 1, 3, 2]
+
+
+def test_line_counts():
+    f = quality.observed("Ab cd cd, EF!! 12|\n\n http://a http .")[0]
+    assert f[0, 2] * 100 == 5 and f[1, 3] == 1 and f[2, 2] * 100 == 3
+    assert np.allclose(f[0, 8:13] * 5, [1, 1, 1, 5, 0]) and f[2, 13] == 1 and f[0, 14] == 1 and np.isclose(f[2, 16] * 3, 2)
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_scores_beside_any_column(spark, module):
+    df = spark.createDataFrame([(1, "You scum. *** ###", "x", 2.0), (1, None, "y", None)], "doc_id bigint, text string, label string, score double")
+    model = module.fit(["You scum.", "fine words here"] * 5, [1, 0] * 5)
+    assert module.score(df, model).count() == 2 and module.score(df.limit(0), model).count() == 0
+    assert toxicity.keep_below(df, toxicity.fit([], [])).columns == df.columns
+
+
+def test_filter_keeps_rows_as_they_are(spark):
+    model = toxicity.fit(["fine words here. you are scum. all good"] * 5 + ["fine words here. all good"] * 20, [1] * 5 + [0] * 20)
+    df = spark.createDataFrame([(1, "all good. you scum!", 1), (2, "all good", 2), (2, "all good", 2), (None, None, 3), (4, "", None)], "doc_id bigint, text string, score bigint")
+    assert sorted(map(tuple, toxicity.keep_below(df, model).collect()), key=str) == sorted([(2, "all good", 2), (2, "all good", 2), (None, None, 3), (4, "", None)], key=str)
+    assert toxicity.keep_below(df.limit(0), model).count() == 0
+
+
+def test_sample_is_bounded_by_its_texts(spark):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(50)] + [(99, "y" * 10_000)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in [*range(50), 99]], "doc_id bigint, toxic int")
+    found = toxicity.sample_of(docs, labels, "doc_id", "text", "toxic", 30, 1_000, lambda texts, _: {"n": len(texts), "most": max(map(len, texts))})
+    assert found.first()["model"] == '{"n": 10, "most": 100}'

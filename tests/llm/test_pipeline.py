@@ -1,7 +1,9 @@
 """The pipeline against a plain version of each stage, and the queries of the package against their SQL."""
 
 import re
+from zlib import crc32
 
+import numpy as np
 import pytest
 from helpers import canonical
 from test_search import brute_components
@@ -71,3 +73,35 @@ def test_stages(spark, sf_dir):
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns[0] == "doc_id" and out.count() > 0
+
+
+def test_whole_pipeline_on_odd_rows(spark, tmp_path):
+    """Null and empty texts, null and repeated ids, and an empty table go through every stage; what is packed is what a plain version of packing asks for."""
+    from tokenizers import Tokenizer
+
+    from cairnlake.llm.tokens import default_vocabulary
+
+    word = lambda *k: "w" + "x".join(map(str, k))
+    text = lambda k: "\n".join(" ".join(word(k, n, i) for i in range(15)) for n in range(4))
+    item = " ".join(word("item", i) for i in range(30))
+    rows = [(i, text(i), "en", f"s{i % 2}", 0) for i in range(20)]
+    rows += [(100, text(3), "en", "s0", 0), (101, "lead " + item + " tail", "en", "s1", 0), (102, None, None, None, None), (103, "", "en", None, 0), (None, text(200), None, "s0", 0), (104, text(201), "en", "s1", 0), (104, text(201), "en", "s1", 0)]
+    for name, data, schema in (("documents", rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), ("labels", [(0, 1, 0), (1, 1, 0)], "doc_id bigint, quality int, toxic int"), ("benchmark", [(1, item), (2, None)], "item_id bigint, text string")):
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"none/{name}.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    library = Tokenizer.from_file(default_vocabulary())
+    ids = lambda t: np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+    want = {i: ids(t) for i, t, *_ in rows if i not in (100, 101)}
+    assert {r["doc_id"] for r in found} == set(want)
+    for i, own in want.items():
+        pieces = sorted((r["start"], r["length"], r["ids_crc32"]) for r in found if r["doc_id"] == i)
+        assert all(crc == crc32(own[at : at + n].tobytes()) for at, n, crc in pieces)
+        times = 2 if i == 104 else 1  # both rows of a repeated one
+        assert sum(n for _, n, _ in pieces) == times * len(own) and sorted({at for at, _, _ in pieces}) == [0, *np.cumsum([n for _, n, _ in pieces[::times]])[:-1].tolist()]
+    by_sequence = {}
+    for r in found:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for pieces in by_sequence.values():
+        assert [at for at, _ in sorted(pieces)] == [0, *np.cumsum([n for _, n in sorted(pieces)])[:-1].tolist()] and sum(n for _, n in pieces) <= 2048
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -188,7 +189,7 @@ def test_overlaps(spark, monkeypatch):
     rows = [(1, "pre " + " ".join(item).upper() + "! post"), (2, "x " + " , ".join(near)), (3, " ".join(item[:8])), (4, " ".join(reversed(item))), (5, None), (6, ""), (None, " ".join(item[5:34])), (7, "one two three four five six"), (8, " ".join(item) + " " + " ".join(item)), (8, "other words")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("item_id", F.lit("clash")).withColumn("seed", F.lit(0)).withColumn("words", F.lit(0))
     bench = spark.createDataFrame([(1, " ".join(item)), (2, "two three four five six"), (3, "two three"), (4, None), (5, "")], "item_id bigint, text string")
-    want = [(1, 1, 40, 24, 24, 1), (2, 1, 40, 22, 24, 1), (7, 2, 5, 5, 5, 1), (8, 1, 40, 24, 24, 0), (None, 1, 40, 24, 24, -5)]
+    want = [(1, 1, 40, 24, 24, 1), (2, 1, 40, 22, 24, 1), (7, 2, 5, 5, 5, 1), (7, 3, 2, 2, 2, 1), (8, 1, 40, 24, 24, 0), (None, 1, 40, 24, 24, -5)]
     for bound in (10**6, -1):
         monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", bound)
         found = [(r["doc_id"], r["item_id"], r["item_words"], r["matched"], r["window"], r["start"]) for r in decontaminate.overlaps(docs, bench).collect()]
@@ -204,13 +205,90 @@ def test_any_window_of_a_diagonal(spark):
 
     def best(text, item):
         same = [a == b for a, b in zip(text, item, strict=True)]
-        return max(sum(same[i : i + decontaminate.WINDOW]) for i in range(len(same) - decontaminate.WINDOW + 1))
+        return max(sum(same[i : i + decontaminate.WINDOW]) for i in range(len(same) - decontaminate.WINDOW + 1)), max(len(x) for x in "".join(".x"[s] for s in same).split("."))
 
-    def seeded(text, item):
-        return any(all(text[i + k] == item[i + k] for k in mask) for mask in decontaminate.MASKS for i in range(len(item) - max(mask)))
-
-    want = {n: best(t, item) for n, (t, item) in enumerate(zip(texts, items, strict=True)) if seeded(t, item)}
+    want = {n: best(t, item) for n, (t, item) in enumerate(zip(texts, items, strict=True))}
     docs = spark.createDataFrame([(n, "pre " * (n % 3) + " ".join(t)) for n, t in enumerate(texts)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(n, " ".join(x)) for n, x in enumerate(items)], "item_id bigint, text string")
     found = {r["doc_id"]: r["matched"] for r in decontaminate.overlaps(docs, bench).collect()}
-    assert found == {n: m for n, m in want.items() if m >= decontaminate.SHARE * decontaminate.WINDOW}
+    assert found == {n: m for n, (m, run) in want.items() if m >= decontaminate.SHARE * decontaminate.WINDOW or run >= decontaminate.RUN}
+
+
+def test_masks_lose_no_overlap():
+    """For every item length and every choice of changed words that the share allows, some mask reads none of them."""
+    d = decontaminate
+    for n in range(1, d.WINDOW + 1):
+        changed = n - math.ceil(d.SHARE * n)
+        masks = d.FAMILIES[max(x for x in d.FAMILIES if x <= n)]
+        places = [sum(1 << (at + i) for i in m) for m in masks for at in range(n - max(m))]
+        for c in itertools.combinations(range(n), changed):
+            bits = sum(1 << i for i in c)
+            assert any(not bits & p for p in places), (n, c)
+
+
+def brute_overlaps(docs, items):
+    d, out = decontaminate, []
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    for i, text in docs:
+        w = words(text)
+        for j, t in items:
+            item, found = words(t), []
+            for start in range(1 - len(item), len(w)):
+                same = [0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(item)]
+                size = min(len(same), d.WINDOW)
+                best = max(sum(same[k : k + size]) for k in range(len(same) - size + 1))
+                run = max(len(x) for x in "".join(".x"[y] for y in same).split("."))
+                if best >= d.SHARE * size - 1e-9 or run >= d.RUN:
+                    found.append((-best, -run, start, size, len(item)))
+            if found:
+                best, run, start, size, n = min(found)
+                out.append((i, j, n, -best, size, -run, start))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bound", [10**6, -1])
+def test_overlaps_of_every_length(spark, monkeypatch, bound):
+    rng = random.Random(7)
+    items = [(n * 10 + k, " ".join(f"i{n}k{k}w{rng.randrange(3 * n)}" for _ in range(n))) for n in [*range(1, 27), 40] for k in range(3)]
+    docs = []
+    for n, (_, text) in enumerate(items):
+        for change in (0, 1, 2, 3, 4, 5, 8):
+            w = text.split()
+            for at in rng.sample(range(len(w)), min(change, len(w))):
+                w[at] = f"z{n}"
+            cut = w[rng.randrange(3) :] if change > 4 else w
+            docs.append((len(docs), " ".join(["pre"] * rng.randrange(3) + cut + ["post"] * rng.randrange(3))))
+    docs.append((len(docs), " ".join(items[-1][1].split()[11:24])))  # 13 of 40 words
+    docs.append((len(docs), " ".join(items[-1][1].split()[11:23])))  # 12
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", bound)
+    found = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted(map(tuple, found.collect())) == brute_overlaps(docs, items)
+
+
+def test_top_k_of_any_size(spark):
+    rng = np.random.default_rng(8)
+    whole = lambda x: topk.whole(x, 256)
+    for size in (1e30, 1e22, 3e10, 1.7e308):
+        rows = [(i, (np.sign(v) * size if size > 1e300 else v * size).tolist()) for i, v in enumerate(rng.normal(size=(60, 5)))]
+        rows += [(60, [1e10, 1.0, 0.0, 0.0, 0.0]), (61, [1e10, 0.0, 0.0, 0.0, 0.0]), (62, rows[3][1]), (63, [-x for x in rows[3][1]])]
+        want = []
+        for q, v in rows:
+            if q % 50 == 0:
+                scores = sorted((-sum(whole(x) * whole(y) for x, y in zip(v, c, strict=True)), i) for i, c in rows if i != q)[:5]
+                want += [(q, r, i, max(-(2**63), min(2**63 - 1, -s)), not -(2**63) <= -s < 2**63) for r, (s, i) in enumerate(scores, 1)]
+        found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), beyond=True)
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_recall_of_links(spark):
+    """Every link that full sets give is found at sf0.01."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    assert got(spark, rows, 85) == brute_components(rows, 85)
+
+
+def test_line_dedup_takes_any_name(spark):
+    rows = [(i, "s", f"head\nbody {i}", "a", "b", 7) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string, __cl_lines string, site string, dropped bigint")
+    out = linededup.drop_boilerplate(df)
+    assert out.columns == ["doc_id", "source", "text", "site", "dropped", "__cl_lines", "__cl_dropped"]
+    assert {(r["text"], r["site"], r["dropped"], r["__cl_lines"], r["__cl_dropped"]) for r in out.collect()} == {(f"body {i}", "b", 7, 2, 1) for i in range(30)}

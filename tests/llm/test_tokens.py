@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cairnlake.llm import packing, tokencount, tokens, wavelet
+from cairnlake.llm import common, packing, tokencount, tokens, wavelet
 from cairnlake.llm.tokens import Encoder, default_vocabulary
 
 ODD = ["", " ", "a", "  two  spaces ", "tab\tnew\n\nline\r\n", "<|endoftext|>", "x<|endoftext|> y<|endoftext|>", "don't we'll 12² ½ ªº", "é" * 50, "漢字 かな 😀　x", "\x1c\x85\xa0", "a" * 3000, "word " * 500, "trailing ", " leading", "a_b c-d (e) [f]", "12345 67", "I'm 'quoted' it's"]
@@ -154,3 +154,29 @@ def test_cuts():
         found = packing.cuts(n, 2048)
         assert [a for a, _, _ in found] == np.cumsum([0, *(s for _, s, _ in found)])[:-1].tolist() and sum(s for _, s, _ in found) == n
         assert all(k * s <= 2048 < (k + 1) * s for _, s, k in found if s * 32 < 2048 or 2048 % s == 0)
+
+
+def test_long_pieces_and_stretches(library, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 400)
+    monkeypatch.setattr(tokencount, "LONG", 20)
+    every = ["".join(rng.choice("abcdeé_1") for _ in range(900)), "x" * 5000, " ".join(f"w{rng.randrange(999)}" for _ in range(900)), "\n".join("ab, cd." for _ in range(300)), "two  spaces " * 90, "short", "", "<|endoftext|> and " * 60]
+    want = [library.encode(t, add_special_tokens=False).ids for t in every]
+    assert [x.tolist() for x in Encoder(default_vocabulary()).many(pa.array(every))] == want
+    assert tokencount.Counter(default_vocabulary()).many(pa.array(every)).tolist() == list(map(len, want))
+
+
+def test_memory_of_words_is_bounded():
+    memo = tokens.Memo(lambda w: [len(w)], 10_000)
+    assert all(memo[f"w{i}"] == [len(f"w{i}")] for i in range(3000)) and len(memo) < 70
+
+
+def test_slices():
+    import pyarrow as pa
+
+    texts = ["a" * n for n in (5, 0, 7, 30, 1, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["i", "t"])
+    found = [x.column(1).to_pylist() for x in common.slices(batch, most=12)]
+    assert found == [texts[:3], texts[3:4], texts[4:]] and list(common.slices(batch.slice(0, 0))) == []

@@ -1,5 +1,10 @@
+import base64
+import gzip
 import hashlib
+import io
 import json
+import random
+import time
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -48,6 +53,88 @@ def test_derivatives_of_pages(spark, sf_dir):
     assert same >= 0.95 * len(source)
 
 
+class Rendered(HTMLParser):
+    """Text and links by the standard parser, under the same rules for lines and hidden elements."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.links, self.hidden = [], [], 0
+
+    def tag(self, tag, step):
+        if tag in ("script", "style", "head", "noscript", "template", "title"):
+            self.hidden += step
+            self.out.append(" ")
+        elif not self.hidden:
+            self.out.append("\n" if tag in warc.BREAKS else "")
+
+    def handle_starttag(self, tag, attrs):
+        self.tag(tag, 1)
+        if tag == "a" and not self.hidden and dict(attrs).get("href") is not None:
+            self.links.append(dict(attrs)["href"].strip())
+
+    def handle_endtag(self, tag):
+        self.tag(tag, -1)
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    handle_decl = handle_comment
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data)
+
+
+def test_every_page_as_the_standard_parser_reads_it(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    for page in [*pages, "<p a='>'>x<b>y</b>z</p>&amp;<a HREF=q>1</a>", "a < b", "<a href='x&amp;y' title=\"</a>\">t</a>"]:
+        seen = Rendered()
+        seen.feed(page)
+        seen.close()
+        text, links, _ = warc.read_page(page)
+        assert text == warc.LINES.sub("\n", warc.SPACES.sub(" ", "".join(seen.out))).strip() and links == seen.links
+
+
+def test_time_grows_with_the_page(spark):
+    for part in ("<script>", "<!--", "<a<b ", "<a href='", '<a b="', "<", "<a ", "</", "<title>", "&#", "\n "):
+        began = time.process_time()
+        warc.read_page(part * (200_000 // len(part)))
+        assert time.process_time() - began < 3, part
+
+
+def record(number, block, more=""):
+    return f"WARC/1.0\r\nWARC-Type: response\r\nX: a\r\nx: {number}\r\n{more}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_damaged_records_are_passed_over(spark, tmp_path):
+    show = lambda data: [(h.get("X"), bytes(b), p) for h, b, p in warc.parse_warc(io.BytesIO(data))]
+    whole = [("a, 1", b"one", None), ("a, 2", b"two", None)]
+    one, two = record(1, b"one"), record(2, b"two")
+    assert show(one + two) == show(gzip.compress(one) + gzip.compress(two)) == whole
+    assert show(one + b"WARC/1.0\r\nContent-Length: zz\r\n\r\nx\r\n" + two) == [whole[0], (None, b"", "Content-Length is no number"), whole[1]]
+    assert show(one + record(3, b"cut")[:-6]) == [whole[0], ("a, 3", b"", "the block is cut short")]
+    rng = random.Random(1)
+    bad = bytearray(gzip.compress(record(3, rng.randbytes(90_000))))
+    bad[40_000:40_100] = bytes(100)
+    assert [(x, p) for x, _, p in show(gzip.compress(one) + bytes(bad) + gzip.compress(two))][::2] == [("a, 1", None), ("a, 2", None)]
+    assert show(b"") == show(b"nothing of the kind") == []
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(one) + gzip.compress(b"WARC/1.0\r\nContent-Length: -\r\n\r\n") + gzip.compress(two))
+    read = warc.read_warc(spark, str(tmp_path), damaged=True)
+    assert sorted(str(r["problem"]) for r in read.collect()) == ["Content-Length is no number", "None", "None"]
+    assert warc.derivatives(read).count() == 4 and warc.read_warc(spark, str(tmp_path)).count() == 2
+
+
+def test_codings_and_case_of_names(spark):
+    page = "<p>café</p>".encode()
+    packed = gzip.compress(page)
+    chunks = b"%x\r\n%s\r\n%x;x=1\r\n%s\r\n0\r\n\r\n" % (5, packed[:5], len(packed) - 5, packed[5:])
+    block = b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\nTransfer-Encoding: chunked\r\n\r\n" + chunks
+    df = spark.createDataFrame([({"warc-type": "Response", "WARC-record-id": "<urn:1>"}, bytearray(block)), ({"warc-type": "request"}, bytearray(b"GET"))], "headers map<string,string>, block binary")
+    rows = warc.derivatives(df).collect()
+    assert sorted(r["block"] for r in rows if r["record_type"] == "conversion") == ["café"] and {r["refers_to"] for r in rows} == {"<urn:1>"}
+    assert all(r["source_payload_digest"] == "sha1:" + base64.b32encode(hashlib.sha1(chunks).digest()).decode() for r in rows)
+
+
 def test_round_trip_through_files(spark, sf_dir, tmp_path):
     records = warc.derivatives(warc.responses_from_pages(spark.read.parquet(f"{sf_dir}/pages.parquet").limit(30))).cache()
     warc.write_warc(records, str(tmp_path / "out"))
