@@ -123,7 +123,7 @@ def test_turtle(spark, tmp_path):
 def test_turtle_that_is_damaged(spark, tmp_path):
     (tmp_path / "a.ttl").write_text("<http://a> <http://p> 1 .\n<http://a> ex:p 2 .")
     got = read_turtle(spark, str(tmp_path), strict=False).collect()
-    assert [(r["o"], r["problem"]) for r in got] == [("1", None), (None, "no prefix 'ex'")]
+    assert [(r["o"], r["problem"]) for r in got] == [("1", None), (None, "line 2: no prefix 'ex'")]
     with pytest.raises(Exception, match="no prefix"):
         read_turtle(spark, str(tmp_path)).collect()
 
