@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +19,8 @@ if TYPE_CHECKING:
 
 #: Text that a Python worker turns into strings at once.
 SLICE_BYTES = 2_000_000
-#: Folders of the tables that this process has saved and not dropped.
-_saved: list[str] = []
+#: The tables saved in the innermost scratch() of the running context; None outside any.
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,7 +55,8 @@ def saved_at(df: DataFrame, name: str, parts: int | None = None) -> tuple[DataFr
     """
     path = fresh_path(df.sparkSession, name)
     (df.coalesce(parts) if parts else df).write.parquet(path)
-    _saved.append(path)
+    if (own := _owned.get()) is not None:
+        own.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -61,17 +64,29 @@ def saved(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     return saved_at(df, name, parts)[0]
 
 
-def drop_saved(spark: SparkSession, paths: list[str] | None = None) -> None:
-    """Deletes saved tables: those given, or all that operators have saved so far.
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Within it, tables that operators save belong to it, and they are dropped at its end: write results before. Tables of other callers stay.
 
-    Results of operators read saved tables when they are run: write them before all are dropped.
+    Outside any scratch() saved tables stay in the shared folder, as results read them whenever they are run.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for path in list(_saved if paths is None else paths):
+    own: list[str] = []
+    before = _owned.set(own)
+    try:
+        yield own
+    finally:
+        _owned.reset(before)
+        drop_saved(spark, own)
+
+
+def drop_saved(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes these saved tables."""
+    hadoop, own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, _owned.get()
+    for path in list(paths):
         place = hadoop(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-        if path in _saved:
-            _saved.remove(path)
+        if own and path in own:
+            own.remove(path)
 
 
 def slices(batch: pa.RecordBatch, column: int = -1, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

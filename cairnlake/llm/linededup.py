@@ -4,9 +4,7 @@ Documents are pages of a site (the host column). For each site and line, the pag
 are divided by the site's pages; a line whose share exceeds the boilerplate ratio, on
 MIN_PAGES pages at least, is dropped wherever the site has it. Only DataFrame functions are used.
 
-Copies of a text don't make its lines boilerplate: where most pages of a line are copies of each other, exact or
-near, it must be over the ratio with copies counted once. Pages are told apart by what they hold besides
-the site's lines over the ratio, so that a long menu doesn't make its pages alike.
+Pages of equal text count once for a line, so that copies of a text don't make its lines boilerplate; the total is of all pages.
 
 A page with L different lines adds to L counts, so a site has at most (mean lines per page) / ratio
 boilerplate lines: they are few whatever the site's size.
@@ -20,10 +18,6 @@ from pyspark.sql import functions as F
 from .common import saved
 
 RATIO, MIN_PAGES = 0.02, 5
-#: Runs of SHINGLE words and least hashes of them by which copies are known: pages that share one of LOOKS minima are copies.
-SHINGLE, LOOKS = 3, 12
-#: Copies count once for a line of which so large a share of pages, or less, is left then.
-COPIED = 0.5
 #: Up to so many boilerplate lines in all (24 bytes each and the host) go to every executor; more are joined by shuffle,
 #: a site's pages dealt over SALTS tasks and its list copied to each.
 BROADCAST_LINES, SALTS = 200_000, 64
@@ -45,7 +39,7 @@ def keys_of(text: Column) -> Column:
 
 
 def boilerplate(df: DataFrame, host: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, line, pages, share) of the lines over the ratio; line is the key of the trimmed line.
+    """(host, line, pages, share) of the lines over the ratio; line is the key of the trimmed line, pages the number of different texts that hold it.
 
     A null host is a site of its own; every row is a page of its site, repeated rows too.
     """
@@ -53,11 +47,12 @@ def boilerplate(df: DataFrame, host: Column, text: Column, ratio: float = RATIO,
     lines = pages.select("host", F.explode(F.array_distinct(F.filter(keys_of(F.col("text")), lambda k: k.isNotNull()))).alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))  # a row per site
-    both = counts.join(totals, counts["host"].eqNullSafe(totals["host"])).select(site(counts["host"]).alias("site"), counts["host"], "line", "pages", "total", (F.col("pages") / F.col("total")).alias("share"))
-    often = saved(both.where(F.col("share") > ratio), "often")
-    found = often.join(distinct_pages(pages, often.select("site", "line")), ["site", "line"])
-    alone = (F.col("apart") >= min_pages) & (F.col("apart") / F.col("total") > ratio)
-    return found.where(alone | (F.col("apart") > F.col("pages") * COPIED)).select("host", "line", "pages", "share")
+    both = counts.join(totals, counts["host"].eqNullSafe(totals["host"])).select(site(counts["host"]).alias("site"), counts["host"], "line", "pages", "total")
+    # Different texts are counted for the few lines that are over the ratio with all pages.
+    often = saved(both.where(F.col("pages") / F.col("total") > ratio), "often").drop("pages")
+    share = F.col("pages") / F.col("total")
+    found = often.join(texts_with(pages, often.select("site", "line")), ["site", "line"]).withColumn("share", share)
+    return found.where((F.col("pages") >= min_pages) & (F.col("share") > ratio)).select("host", "line", "pages", "share")
 
 
 def site(host: Column) -> Column:
@@ -75,37 +70,13 @@ def with_lists(rows: DataFrame, text: Column, sites: DataFrame, few: bool, how:
     return rows.join(dealt, ["site", "salt"], how)
 
 
-def with_looks(rows: DataFrame) -> DataFrame:
-    """rows with, for rest, `looks`: the least hashes of the text's runs of words under LOOKS orders; a text too short for a run is its own.
-
-    Each step is a column that the next reads more than once, so that Spark computes it once for a row.
-    """
-    rows = rows.withColumn("hashes", F.transform(F.filter(F.split("rest", r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w)))
-    size = F.size("hashes")
-    runs = F.transform(F.sequence(F.lit(0), size - SHINGLE), lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(SHINGLE)]))
-    rows = rows.withColumn("runs", F.when(size >= SHINGLE, runs).otherwise(F.array(F.xxhash64(F.trim("rest")))))
-    # The orders are those of the hashes with some bits turned.
-    least = lambda turned: F.array_min(F.transform("runs", lambda x: x.bitwiseXOR(turned)))
-    return rows.withColumn("looks", F.array(*[least(F.xxhash64(F.lit(n))) for n in range(LOOKS)])).drop("rest", "hashes", "runs")
-
-
-def distinct_pages(pages: DataFrame, often: DataFrame) -> DataFrame:
-    """(site, line, apart) of the lines in often: pages of (host, text) that hold them, copies counted once."""
+def texts_with(pages: DataFrame, often: DataFrame) -> DataFrame:
+    """(site, line, pages) of the lines in often: different texts of (host, text) that hold them."""
     sites = often.groupBy("site").agg(F.collect_list("line").alias("bad"))  # bounded for each site, see above
     rows = with_lists(pages.select(site(F.col("host")).alias("site"), "text"), F.col("text"), sites, often.count() <= BROADCAST_LINES, "inner")
-    frequent = lambda x: F.array_contains("bad", line_key(F.trim(x)))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    held = F.array_distinct(F.transform(F.filter(lines, frequent), lambda x: line_key(F.trim(x))))
-    rest = F.array_join(F.filter(lines, lambda x: ~frequent(x)), " ")
-    rows = rows.select("site", F.xxhash64("text").alias("page"), held.alias("held"), rest.alias("rest")).where(F.size("held") > 0)
-    # Equal texts are one page from here on.
-    rows = saved(with_looks(rows.dropDuplicates(["site", "page"])), "held")
-    each = rows.select("site", "page", F.posexplode("looks").alias("n", "look"))
-    leaders = each.groupBy("site", "n", "look").agg(F.min("page").alias("leader"))
-    # A page's group is the least page that it shares a look with.
-    groups = each.join(leaders, ["site", "n", "look"]).groupBy("site", "page").agg(F.min("leader").alias("leader"))
-    of_line = rows.select("site", "page", F.explode("held").alias("line")).join(groups, ["site", "page"])
-    return of_line.select("site", "line", "leader").distinct().groupBy("site", "line").agg(F.count("*").alias("apart"))
+    held = F.array_distinct(F.filter(keys_of(F.col("text")), lambda k: k.isNotNull() & F.array_contains("bad", k)))
+    rows = rows.select("site", line_key(F.col("text")).alias("page"), F.explode(held).alias("line"))
+    return rows.distinct().groupBy("site", "line").agg(F.count("*").alias("pages"))
 
 
 def drop_boilerplate(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:

@@ -313,7 +313,12 @@ def phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least
     stretches, however long. Other columns take no part, whatever their names; an empty table gives an empty result.
     """
     tries = saved(shards(df, text_col, lang_col), "tries")
-    found = saved(nodes(tries, least), "nodes")
+    totals = tries.groupBy("lang").agg(F.sum("tokens").alias("n"))
+    return ranked(saved(nodes(tries, least), "nodes"), totals, covered, top)
+
+
+def ranked(found: DataFrame, totals: DataFrame, covered: int = COVERED, top: int = TOP) -> DataFrame:
+    """Each language's best phrases of all nodes (lang, w1, ..., n) that occur often enough; totals: (lang, n), all words."""
     lefts, rights = [f"l{k}" for k in range(1, DEPTH)], [f"r{k}" for k in range(1, DEPTH)]
     left = walked(found, PATH, lefts)
     # From its end: the last word first, absent words last.
@@ -342,5 +347,4 @@ def phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least
     dealt = scored.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     few = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
     best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")).where(F.col("rank") <= top)
-    totals = tries.groupBy("lang").agg(F.sum("tokens").alias("n"))
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

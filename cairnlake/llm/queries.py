@@ -104,7 +104,7 @@ SELECT doc_id, item_id, CAST(n AS BIGINT) AS item_words, CAST(matched AS BIGINT)
     ratio, pages = linededup.RATIO, linededup.MIN_PAGES
     sql4 = f"""
 WITH doc AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-line AS (SELECT DISTINCT doc_id, source, trim(x) AS x FROM (SELECT doc_id, source, unnest(lines) AS x FROM doc) WHERE trim(x) <> ''),
+line AS (SELECT DISTINCT text, source, trim(x) AS x FROM (SELECT text, source, unnest(lines) AS x FROM doc) WHERE trim(x) <> ''),
 total AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 bad AS (SELECT source, x FROM (SELECT source, x, count(*) AS c FROM line GROUP BY source, x) JOIN total USING (source) WHERE c >= {pages} AND CAST(c AS DOUBLE) / n > {ratio}),
 sites AS (SELECT source, list(x) AS b FROM bad GROUP BY source),

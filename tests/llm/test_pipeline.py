@@ -1,16 +1,16 @@
 """The pipeline against a plain version of each stage, and the queries of the package against their SQL."""
 
-import re
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
 import pytest
 from helpers import canonical
-from test_search import brute_components
+from test_search import brute_components, brute_overlaps
 
 import corpus_pipeline
-from cairnlake.llm import decontaminate as d
 from cairnlake.llm import linededup, queries, toxicity
+from cairnlake.llm.common import shared_folder
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -22,21 +22,6 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert canonical(rows) == canonical(duck.execute(f"SELECT {quoted} FROM ({queries.oracle_sql()[name]})").fetchall())
 
 
-def words(text):
-    return re.findall(r"[^\W_]+", text.lower())
-
-
-def leaks(text, items):
-    w = words(text)
-    for item in items:
-        size = min(len(item), d.WINDOW)
-        for first in range(len(item) - size + 1):
-            part = item[first : first + size]
-            if any(sum(a == b for a, b in zip(w[i : i + size], part, strict=False)) >= d.SHARE * size for i in range(max(1, len(w) - size + 1))):
-                return True
-    return False
-
-
 def test_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near-dedup", "decontamination", "packing"]
@@ -53,12 +38,12 @@ def test_stages(spark, sf_dir):
     assert {r["doc_id"] for r in after} == {r["doc_id"] for r in before if scorer.score(r["text"]) < 0.7}
 
     before, after = seen["line dedup"]
-    count, total = {}, {}
+    texts, total = {}, {}
     for r in before:
         total[r["source"]] = total.get(r["source"], 0) + 1
         for line in {x.strip(" ") for x in r["text"].split("\n")} - {""}:
-            count[r["source"], line] = count.get((r["source"], line), 0) + 1
-    bad = {k for k, n in count.items() if n >= linededup.MIN_PAGES and n / total[k[0]] > linededup.RATIO}
+            texts.setdefault((r["source"], line), set()).add(r["text"])
+    bad = {k for k, t in texts.items() if len(t) >= linededup.MIN_PAGES and len(t) / total[k[0]] > linededup.RATIO}
     want = {r["doc_id"]: "\n".join(x for x in r["text"].split("\n") if (r["source"], x.strip(" ")) not in bad) for r in before}
     assert {r["doc_id"]: r["text"] for r in after} == want and all(r["n_chars"] == len(r["text"]) for r in after if want[r["doc_id"]] != "")
 
@@ -66,13 +51,22 @@ def test_stages(spark, sf_dir):
     assert sorted(r["doc_id"] for r in after) == [r[0] for r in brute_components([(r["doc_id"], r["text"]) for r in before], 80) if r[3]]
 
     before, after = seen["decontamination"]
-    items = [w for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(w := words(r["text"])) >= d.LEAST_WORDS]
-    assert {r["doc_id"] for r in after} == {r["doc_id"] for r in before if not leaks(r["text"], items)}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    leaked = {i for i, *_ in brute_overlaps([(r["doc_id"], r["text"]) for r in before], items)}
+    assert 0 < len(leaked) < len(before) and {r["doc_id"] for r in after} == {r["doc_id"] for r in before} - leaked
+
+
+def tables(spark):
+    return {p.name for p in Path(shared_folder(spark).removeprefix("file:"), "cairnlake").glob("*")}
 
 
-def test_run(spark, sf_dir):
+def test_run_keeps_what_is_not_its_own(spark, sf_dir):
+    """A result that was made before still reads its saved tables afterwards; of the pipeline's own tables only its result is left."""
+    held = linededup.drop_boilerplate(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rows, before = held.count(), tables(spark)
     out = corpus_pipeline.run(spark, sf_dir)
-    assert out.columns[0] == "doc_id" and out.count() > 0
+    assert out.columns[0] == "doc_id" and out.count() > 0 and held.count() == rows
+    assert len(tables(spark) - before) == 1 and before <= tables(spark)
 
 
 def test_whole_pipeline_on_odd_rows(spark, tmp_path):

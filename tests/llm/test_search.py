@@ -148,6 +148,13 @@ def test_line_dedup_edges(spark):
     assert linededup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_a_long_text(spark):
+    """400,000 lines in a row, and one line of 3 MB."""
+    rows = [(i, "s", f"head\nown {i}") for i in range(10)] + [(10, "s", "head\n" + "\n".join(f"x{i}" for i in range(400_000)) + "\nhead"), (11, "s", "y" * 3_000_000 + "\nhead")]
+    out = {r["doc_id"]: r for r in linededup.drop_boilerplate(spark.createDataFrame(rows, "doc_id bigint, source string, text string")).collect()}
+    assert out[10]["text"] == rows[10][2][5:-5] and out[10]["__cl_dropped"] == 2 and out[11]["text"] == "y" * 3_000_000
+
+
 def test_line_dedup_shuffled_equals_broadcast(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     few = sorted(map(str, linededup.drop_boilerplate(docs).collect()))
@@ -155,19 +162,12 @@ def test_line_dedup_shuffled_equals_broadcast(spark, sf_dir, monkeypatch):
     assert sorted(map(str, linededup.drop_boilerplate(docs).collect())) == few
 
 
-def test_copies_make_no_boilerplate(spark):
-    word = lambda *k: "w" + "x".join(map(str, k))
-    line = lambda *k: " ".join(word(*k, i) for i in range(12))
-    copied = [line("copy", n) for n in range(10)]
+def test_equal_texts_count_once(spark):
+    line = lambda *k: " ".join("w" + "x".join(map(str, (*k, i))) for i in range(12))
     menu = [line("menu", n) for n in range(12)]  # longer than the page's own text
-    rows = [f"{line('own', i)}\nLes.\n{line('more', i)}" if i % 4 == 0 else line("own", i) for i in range(120)]  # 30 of 500 pages: 6 %
+    rows = [f"{line('own', i)}\nLes.\n{line('more', i)}" if i % 4 == 0 else line("own", i) for i in range(120)]
     rows += ["\n".join([*menu, line("under", i)]) for i in range(60)]
-    rows += ["\n".join(copied)] * 20
-    for i in range(300):  # near copies: a word changed in five of ten lines
-        text = [x.split() for x in copied]
-        for n in range(5):
-            text[(i + n * (1 + i % 3)) % 10][(i + n) % 12] = word("new", i, n)
-        rows.append("\n".join(map(" ".join, text)))
+    rows += ["\n".join(line("copy", n) for n in range(10))] * 320
     df = spark.createDataFrame([(i, "s", t) for i, t in enumerate(rows)], "doc_id bigint, source string, text string")
     out = {r["doc_id"]: r["text"].split("\n") for r in linededup.drop_boilerplate(df).collect()}
     assert not any("Les." in x for x in out.values())
@@ -175,6 +175,17 @@ def test_copies_make_no_boilerplate(spark):
     assert all(out[i] == rows[i].split("\n") for i in range(180, 500))
 
 
+@pytest.mark.parametrize(("pages", "common"), [(300, 20), (300, 50), (1000, 30), (1000, 40)])
+def test_pages_made_from_a_template(spark, pages, common):
+    """Catalogue pages: a footer, words of their own, and a line that differs from page to page by a number alone."""
+    rng = random.Random(common)
+    shared = " ".join(f"c{i}" for i in range(common))
+    own = ["\n".join([" ".join(f"o{rng.randrange(10**9)}" for _ in range(80)), f"{shared} {i}", "All rights reserved"]) for i in range(pages)]
+    df = spark.createDataFrame([(i, "shop", t) for i, t in enumerate(own)], "doc_id bigint, source string, text string")
+    out = {r["doc_id"]: r["text"] for r in linededup.drop_boilerplate(df).collect()}
+    assert all(out[i] == t.removesuffix("\nAll rights reserved") for i, t in enumerate(own))
+
+
 def test_url_host(spark):
     df = spark.createDataFrame([("HTTP://U:p@Ex.COM:80/a",), ("x",), (None,)], "u string")
     assert [r[0] for r in df.select(linededup.url_host(F.col("u"))).collect()] == ["ex.com", "", None]
