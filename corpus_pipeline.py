@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.llm import decontaminate, linededup, neardup, packing, toxicity
-from cairnlake.llm.common import drop_saved, fresh_path
+from cairnlake.llm.common import drop_saved, fresh_path, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -62,11 +62,19 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over documents, each written to the shared folder and read again; what a stage has saved on the way is then dropped."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn over documents, each written to the shared folder and read again.
+
+    What a stage saves on its way goes with it, and its result goes once the next one is written; the last result stays and is the caller's. Tables of other results aren't touched.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         path = fresh_path(spark, "pipeline-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        drop_saved(spark)
-        docs = spark.read.parquet(path)
+        try:
+            with scratch(spark):
+                stage(spark, docs, sf_dir).write.parquet(path)
+        except BaseException:
+            drop_saved(spark, [*last, path])
+            raise
+        drop_saved(spark, last)
+        docs, last = spark.read.parquet(path), [path]
     return docs
