@@ -156,17 +156,3 @@ def raw_table(triples: DataFrame, name: str) -> DataFrame:
 def sampled(table: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """Rows of a table about the sampled items (column item)."""
     return table.join(items.select(F.col("item").alias(key)), key, "left_semi")
-
-
-def paths(edges: DataFrame, sources: DataFrame, depth: int) -> DataFrame:
-    """(source, node, distance) of nodes within `depth` steps, each at its least distance; edges: src, dst; sources: source.
-
-    Each step keeps only nodes that were not reached before, so that circles end.
-    """
-    reached = sources.select("source", F.col("source").alias("node"), F.lit(0).alias("distance")).distinct()
-    front = reached
-    for d in range(1, depth + 1):
-        front = front.select("source", F.col("node").alias("src")).join(edges.select("src", F.col("dst").alias("node")), "src").select("source", "node").distinct()
-        front = front.join(reached, ["source", "node"], "left_anti").withColumn("distance", F.lit(d))
-        reached = reached.unionByName(front)
-    return reached

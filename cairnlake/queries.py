@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from .functions import items, rights, vocab
 from .operators import aggregates as A
-from .operators import filters, graph
+from .operators import filters, graph, paths
 from .plans.compose import first_by
+from .sources.archives import read_dump
+from .sources.rolled import write_turtle
+from .sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -596,9 +599,69 @@ def graph_paths(s: SparkSession, d: str) -> DataFrame:
     """Everything within two steps of each customer."""
     t = _triples(s, d).where("p <> 'name'").select(F.col("s").alias("src"), F.col("o").alias("dst"))
     start = read(s, d, "customer").select(F.concat(F.lit("customer/"), F.col("c_custkey").cast("string")).alias("source"))
-    return graph.paths(t, start, 2)
+    return paths.paths(t, start, 2)
 
 
 ORACLE["graph_paths"] = """SELECT 'customer/' || CAST(c_custkey AS VARCHAR) AS source, 'customer/' || CAST(c_custkey AS VARCHAR) AS node, CAST(0 AS INTEGER) AS distance FROM customer
 UNION ALL SELECT 'customer/' || CAST(c_custkey AS VARCHAR), 'nation/' || CAST(c_nationkey AS VARCHAR), 1 FROM customer
 UNION ALL SELECT 'customer/' || CAST(c_custkey AS VARCHAR), 'region/' || CAST(n_regionkey AS VARCHAR), 2 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+
+def _next_orders(s: SparkSession, d: str, steps: tuple[int, ...]) -> DataFrame:
+    """(src, dst, o_custkey): from each order of a customer, in the order of their keys, to the ones so many places on."""
+    of_customer = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    each = read(s, d, "orders").select("o_custkey", F.col("o_orderkey").alias("src"), *[F.lead("o_orderkey", n).over(of_customer).alias(f"n{n}") for n in steps])
+    return each.select("o_custkey", "src", F.explode(F.array_compact(F.array(*[f"n{n}" for n in steps]))).alias("dst"))
+
+
+def _ends(s: SparkSession, d: str, rows: str = "true") -> DataFrame:
+    return read(s, d, "orders").where(rows).groupBy("o_custkey").agg(F.min("o_orderkey").alias("source"), F.max("o_orderkey").alias("target"))
+
+
+NEXT = "SELECT o_custkey, o_orderkey AS src, lead(o_orderkey, {n}) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS dst FROM orders"
+EDGES = "edge AS (SELECT * FROM (" + " UNION ALL ".join(NEXT.format(n=n) for n in (1, 3)) + ") WHERE dst IS NOT NULL)"
+ENDS = "pair AS (SELECT o_custkey, min(o_orderkey) AS source, max(o_orderkey) AS target FROM orders GROUP BY 1)"
+
+
+@query(f"""WITH RECURSIVE {EDGES}, {ENDS},
+walk AS (SELECT source, source AS node, 0 AS distance FROM pair UNION SELECT source, dst, distance + 1 FROM walk JOIN edge ON src = node WHERE distance < 20)
+SELECT source, node, CAST(min(distance) AS INTEGER) AS distance FROM walk GROUP BY 1, 2""")
+def graph_distances(s: SparkSession, d: str) -> DataFrame:
+    """Orders within twenty steps of each customer's first one, at their least distance."""
+    return paths.distances(_next_orders(s, d, (1, 3)), _ends(s, d).select("source"), 20).select("source", "node", "distance")
+
+
+@query(f"""WITH RECURSIVE {EDGES}, {ENDS},
+walk AS (SELECT source, target, source AS node, [source] AS path FROM pair UNION ALL SELECT source, target, dst, list_append(path, dst) FROM walk JOIN edge ON src = node WHERE len(path) <= 6)
+SELECT source, target, array_to_string(path, ' ') AS path, CAST(len(path) - 1 AS INTEGER) AS length FROM walk WHERE node = target AND len(path) > 1""")
+def graph_all_paths(s: SparkSession, d: str) -> DataFrame:
+    """Every path of at most six steps from each customer's first order to the last."""
+    found = paths.all_paths(_next_orders(s, d, (1, 3)), None, None, 6, pairs=_ends(s, d).select("source", "target"))
+    return found.select("source", "target", F.array_join(F.transform("path", lambda x: x.cast("string")), " ").alias("path"), "length")
+
+
+@query(f"""WITH RECURSIVE {EDGES}, {ENDS},
+walk AS (SELECT source, target, source AS node, [source] AS path FROM pair UNION ALL SELECT source, target, dst, list_append(path, dst) FROM walk JOIN edge ON src = node WHERE len(path) <= 12),
+found AS (SELECT *, row_number() OVER (PARTITION BY source, target ORDER BY len(path), list_reverse(path)) AS r FROM walk WHERE node = target)
+SELECT source, target, CAST(len(path) - 1 AS INTEGER) AS distance, array_to_string(path, ' ') AS path FROM found WHERE r = 1""")
+def graph_shortest_paths(s: SparkSession, d: str) -> DataFrame:
+    """One shortest path, of at most twelve steps, from each customer's first order to the last."""
+    found = paths.shortest_paths(_next_orders(s, d, (1, 3)), _ends(s, d).select("source", "target"), 12)
+    return found.select("source", "target", "distance", F.array_join(F.transform("path", lambda x: x.cast("string")), " ").alias("path"))
+
+
+@query("""SELECT 'http://d/order/' || CAST(o_orderkey AS VARCHAR) AS s, 'http://v#' || p AS p, o, kind AS o_kind, lang AS o_lang, datatype AS o_datatype FROM (
+SELECT o_orderkey, 'by' AS p, 'http://d/customer/' || CAST(o_custkey AS VARCHAR) AS o, 'iri' AS kind, CAST(NULL AS VARCHAR) AS lang, CAST(NULL AS VARCHAR) AS datatype FROM orders
+UNION ALL SELECT o_orderkey, 'comment', o_orderpriority || ' "' || o_orderstatus || '" ' || chr(10) || chr(92), 'literal', 'en', NULL FROM orders
+UNION ALL SELECT o_orderkey, 'custkey', CAST(o_custkey AS VARCHAR), 'literal', NULL, 'http://www.w3.org/2001/XMLSchema#integer' FROM orders)""")
+def dump_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Statements about all orders, written as Turtle files of bounded size with prefixes, and read back through the dump source."""
+    orders = read(s, d, "orders")
+    key, none = F.col("o_orderkey").cast("string"), F.lit(None).cast("string")
+    t = lambda p, o, kind, lang=none, of=none: F.struct(F.concat(F.lit("http://d/order/"), key).alias("s"), F.lit("http://v#" + p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), lang.alias("o_lang"), of.alias("o_datatype"))
+    who = F.col("o_custkey").cast("string")
+    note = F.concat("o_orderpriority", F.lit(' "'), "o_orderstatus", F.lit('" \n\\'))
+    each = orders.select(F.explode(F.array(t("by", F.concat(F.lit("http://d/customer/"), who), "iri"), t("comment", note, "literal", F.lit("en")), t("custkey", who, "literal", of=F.lit("http://www.w3.org/2001/XMLSchema#integer")))).alias("t"))
+    path = fresh_path(s, "dump")
+    write_turtle(each.select("t.*"), path, {"v": "http://v#", "xsd": "http://www.w3.org/2001/XMLSchema#"}, roll_bytes=8 << 20)
+    return read_dump(s, path).select("s", "p", "o", "o_kind", "o_lang", "o_datatype")

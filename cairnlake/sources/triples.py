@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,16 +85,21 @@ def prefixes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(found[0].alias("prefix"), found[1].alias("namespace")).where("namespace <> ''").distinct()
 
 
-def write_ntriples(triples: DataFrame, path: str, per_file: int = 10_000_000) -> None:
-    """N-Triples text, at most per_file statements to a file."""
-    iri = lambda c: F.concat(F.lit("<"), c, F.lit(">"))
+def statements(triples: DataFrame, short: Callable[[Column, Column], Column] = lambda text, iri: text) -> DataFrame:
+    """(value) a line for each triple; short(text, iri) may give another text for an IRI."""
+    iri = lambda c: short(F.concat(F.lit("<"), c, F.lit(">")), c)
     term = lambda c: F.when(c.startswith("_:"), c).otherwise(iri(c))
     text = F.col("o")
     for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         text = F.replace(text, F.lit(raw), F.lit(escaped))
     tail = F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), "o_lang")).when(F.col("o_datatype").isNotNull(), F.concat(F.lit("^^"), iri(F.col("o_datatype")))).otherwise("")
     o = F.when(F.col("o_kind") == "literal", F.concat(F.lit('"'), text, F.lit('"'), tail)).otherwise(term(F.col("o")))
-    triples.select(F.concat(term(F.col("s")), F.lit(" "), iri(F.col("p")), F.lit(" "), o, F.lit(" .")).alias("value")).write.option("maxRecordsPerFile", per_file).text(path)
+    return triples.select(F.concat(term(F.col("s")), F.lit(" "), iri(F.col("p")), F.lit(" "), o, F.lit(" .")).alias("value"))
+
+
+def write_ntriples(triples: DataFrame, path: str, per_file: int = 10_000_000) -> None:
+    """N-Triples text, at most per_file statements to a file; rolled.write_turtle bounds files by their bytes."""
+    statements(triples).write.option("maxRecordsPerFile", per_file).text(path)
 
 
 def term_text(cell: Column) -> Column:

@@ -56,12 +56,6 @@ def test_pattern_repeats_a_variable(spark):
     assert [tuple(r) for r in graph.Pattern("?x", "p", "?x").match(t).collect()] == [("a",)]
 
 
-def test_paths_end_in_circles(spark):
-    e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "src string, dst string")
-    got = graph.paths(e, spark.createDataFrame([("a",)], "source string"), 5)
-    assert sorted((r["node"], r["distance"]) for r in got.collect()) == [("a", 0), ("b", 1), ("c", 2)]
-
-
 def test_streamed_counts_equal_batch(spark, tmp_path, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type")
     events.orderBy("ts").coalesce(1).write.parquet(str(tmp_path / "in"))
