@@ -11,7 +11,6 @@ A long piece of n bytes takes some 25 n bytes of memory: links, symbols and plac
 from __future__ import annotations
 
 import heapq
-import json
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, text_of
-from .tokens import Words, by_length, byte_names, default_vocabulary, for_task
+from .tokens import Words, by_length, byte_level, byte_names, default_vocabulary, for_task
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -50,8 +49,7 @@ class Counter:
     def __init__(self, path: str):
         import regex
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = byte_level(path)
         bytes_of = {c: bytes([b]) for b, c in enumerate(byte_names())}
         plain = lambda s: b"".join(map(bytes_of.__getitem__, s))
         pairs = (x.split(" ") if isinstance(x, str) else x for x in spec["model"]["merges"])

@@ -9,6 +9,7 @@ NumPy puts the ids together. Any other text goes to the library whole.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -131,13 +132,33 @@ class Words:
             row = end
 
 
+def byte_level(path: str) -> dict:
+    """The contents of a vocabulary file; ValueError where texts are not cut as byte-level BPE cuts them, as counts and ids by words would be wrong then."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    if spec.get("normalizer"):
+        odd.append("normalizer")
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        odd.append("pre_tokenizer")
+    if model.get("type", "BPE") != "BPE":
+        odd.append("model")
+    if odd:
+        raise ValueError(f"{path} is not a plain byte-level BPE vocabulary: {', '.join(odd)}")
+    return spec
+
+
 class Encoder:
     """Token ids as unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        byte_level(path)
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         encode = self.tokenizer.encode
         self.raw = raw = lambda text: np.array(encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         added = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())

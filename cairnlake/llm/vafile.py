@@ -220,6 +220,6 @@ def compress(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
         summed = coded.join(F.broadcast(by_label.withColumnRenamed("label", "of")), F.col("label").eqNullSafe(F.col("of")))
     else:
         salted = coded.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-        dealt = by_label.select(F.col("label").alias("of"), "label_error", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint").alias("of_salt"))
+        dealt = by_label.select(F.col("label").alias("of"), "label_error", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("of_salt"))
         summed = salted.join(dealt, F.col("label").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("of_salt")))
     return summed.select(F.col("id").alias(id_col), "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256")), books

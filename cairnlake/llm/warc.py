@@ -187,13 +187,28 @@ def body_of(http: dict[str, str], payload: bytes) -> bytes:
         if coding in ("gzip", "x-gzip", "deflate"):
             for bits in (47, -15):  # with a header, or bare
                 try:
-                    payload = zlib.decompressobj(bits).decompress(payload)
+                    payload = inflated(payload, bits)
                     break
                 except zlib.error:
                     continue
     return payload
 
 
+def inflated(data: bytes, bits: int) -> bytes:
+    """All members of compressed data, one after another; of a member that ends too soon what is there, and what follows the last isn't read."""
+    whole = []
+    while data:
+        one = zlib.decompressobj(bits)
+        try:
+            whole.append(one.decompress(data))
+        except zlib.error:
+            if not whole:
+                raise
+            break
+        data = one.unused_data if bits > 0 else b""
+    return b"".join(whole)
+
+
 def responses_from_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = DATE) -> DataFrame:
     """Response records of crawled pages: (id, headers map, block binary). Null HTML is an empty page; a null URL gives a record without target."""
     rows = pages.select(F.col(id_col), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))

@@ -180,3 +180,13 @@ def test_slices():
     batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["i", "t"])
     found = [x.column(1).to_pylist() for x in common.slices(batch, most=12)]
     assert found == [texts[:3], texts[3:4], texts[4:]] and list(common.slices(batch.slice(0, 0))) == []
+
+
+def test_other_vocabularies_are_refused():
+    import public_tokenizers
+
+    from cairnlake.llm.tokencount import Counter
+
+    for make in (Encoder, Counter):
+        with pytest.raises(ValueError, match="normalizer"):
+            make(public_tokenizers.path("word_bpe_49k.json"))

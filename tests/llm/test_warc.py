@@ -7,6 +7,7 @@ import random
 import time
 from html.parser import HTMLParser
 
+import pytest
 from pyspark.sql import functions as F
 
 from cairnlake.llm import warc
@@ -163,3 +164,12 @@ def test_other_records_and_missing_headers(spark):
     assert meta["title"] == "T t" and meta["http"]["headers"]["x"] == "1, 2"
     assert "café" in [r["block"] for r in rows]
     assert any(r["source_payload_digest"] == warc.digest(b"") for r in rows) and hashlib.sha1(b"").hexdigest()
+
+
+def test_bodies_of_several_members():
+    import zlib
+
+    members = gzip.compress(b"one ") + gzip.compress(b"two")
+    assert warc.inflated(members, 47) == b"one two" and warc.inflated(members + b"rest", 47) == b"one two" and warc.inflated(members[:-9], 47)[:4] == b"one "
+    with pytest.raises(zlib.error):
+        warc.inflated(b"plain", 47)
