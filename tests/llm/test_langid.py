@@ -1,9 +1,9 @@
 import math
-import re
 from collections import Counter
 from zlib import crc32
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from cairnlake.llm import langid, queries
@@ -14,7 +14,7 @@ def brute_model(rows, pairs=langid.PAIRS, cells=langid.CELLS):
     words, grams = {}, {}
     for text, lang in rows:
         if lang is not None:
-            words.setdefault(lang, Counter()).update(re.findall(r"[^\W\d_]+", (text or "").lower()))
+            words.setdefault(lang, Counter()).update(regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower()))
     words = {k: v for k, v in words.items() if v}
     most = max(langid.ORDERS, min(pairs, cells // len(words)) // (2 * len(words)))
     for lang, own in words.items():
@@ -37,7 +37,7 @@ def brute_model(rows, pairs=langid.PAIRS, cells=langid.CELLS):
 def brute_guess(model, text):
     langs, lists, floor = model
     total, some = dict.fromkeys(langs, 0.0), False
-    for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+    for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower()):
         some = True
         told = [w] if any(w in lists[g, 0] for g in langs) else []
         order = 0
