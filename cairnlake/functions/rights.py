@@ -103,6 +103,15 @@ def rights_label(uri: Column) -> Column:
     )
 
 
+def full_label(uri: Column) -> Column:
+    """The label with the version of a licence or tool and, in brackets, the port of a licence: Attribution (CC BY) 3.0 (AU)."""
+    licence, tool = (F.split(F.rtrim(F.substring(uri, len(n) + 1, 1 << 20), F.lit("/")), "/") for n in (CC_LICENSE, CC_PUBLIC_DOMAIN))
+    port = F.coalesce(F.concat(F.lit(" ("), F.upper(F.get(licence, F.lit(2))), F.lit(")")), F.lit(""))
+    version = lambda steps: F.coalesce(F.concat(F.lit(" "), F.get(steps, F.lit(1))), F.lit(""))
+    tail = F.when(uri.startswith(CC_LICENSE), F.concat(version(licence), port)).when(uri.startswith(CC_PUBLIC_DOMAIN), version(tool)).otherwise("")
+    return F.concat(rights_label(uri), F.coalesce(tail, F.lit("")))
+
+
 def rights_identifier(uri: Column) -> Column:
     """Short name such as CC-BY-SA-3.0-AU, CC-PD-ZERO-1.0 or InC-1.0; 'Other' for any other URI."""
 
@@ -115,7 +124,7 @@ def rights_identifier(uri: Column) -> Column:
 
 
 def rights_registry(spark: SparkSession, versions: dict[str, list[str | None]]) -> DataFrame:
-    """(uri, identifier, reuse_level, family, is_open, label) of every licence, version and port given, tool and statement.
+    """(uri, identifier, reuse_level, family, is_open, label, full_label) of every licence, version and port given, tool and statement.
 
     versions maps a licence version to its ports, None for the international text.
     """
@@ -124,4 +133,4 @@ def rights_registry(spark: SparkSession, versions: dict[str, list[str | None]])
     uris += [f"{CC_PUBLIC_DOMAIN}{x}/1.0/" for x in TOOL_FAMILY]
     uris += [f"{RIGHTS_STATEMENTS}{x}/1.0/" for x in (*RESTRICTED_STATEMENTS, *PROHIBITED_STATEMENTS)]
     u = F.col("uri")
-    return spark.createDataFrame([(x,) for x in uris], "uri string").select("uri", rights_identifier(u).alias("identifier"), reuse_level(u).alias("reuse_level"), rights_family(u).alias("family"), is_open(u).alias("is_open"), rights_label(u).alias("label"))
+    return spark.createDataFrame([(x,) for x in uris], "uri string").select("uri", rights_identifier(u).alias("identifier"), reuse_level(u).alias("reuse_level"), rights_family(u).alias("family"), is_open(u).alias("is_open"), rights_label(u).alias("label"), full_label(u).alias("full_label"))

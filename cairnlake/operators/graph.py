@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import LINKS, VALUES, WEB_RESOURCE, LinksTable, ValuesTable, column_of, expand
@@ -72,6 +72,20 @@ def exists(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, _shared(left, right), "left_semi")
 
 
+def values(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """Inline data: solutions given as rows of terms, None for one that is unbound, which any term fits. Joined by with_values()."""
+    return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+
+
+def with_values(left: DataFrame, given: DataFrame) -> DataFrame:
+    """Solutions that agree with inline data; an unbound term in the data fits every value, and a variable that only the data has is added. The data is small, as it was written into a query."""
+    shared = _shared(left, given)
+    data = given.select(*[F.col(c).alias(f"__v_{c}") for c in given.columns])
+    fits = reduce(lambda a, b: a & b, [F.col(f"__v_{c}").isNull() | (F.col(c) == F.col(f"__v_{c}")) for c in shared], F.lit(True))
+    added = [F.col(f"__v_{c}").alias(c) for c in given.columns if c not in shared]
+    return left.join(F.broadcast(data), fits).select(*left.columns, *added)
+
+
 def page(df: DataFrame, order: list[str], limit: int, offset: int = 0) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 

@@ -33,9 +33,16 @@ class Catalog:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
         links = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = next((p for p in (path, links) if fs.exists(p)), None)
+        found = next((p for p in (path, links) if fs.exists(p) and self._whole(fs, p)), None)
         return self.spark.read.parquet(found.toString()) if found is not None else None
 
+    def _whole(self, fs, path) -> bool:
+        """Whether a table was written to its end: not where a write broke off and left its working folder, or nothing."""
+        if not fs.getFileStatus(path).isDirectory():
+            return True
+        names = {f.getPath().getName() for f in fs.listStatus(path)}
+        return "_SUCCESS" in names or ("_temporary" not in names and any(n[0] not in "._" for n in names))
+
     def _base(self, name: str) -> DataFrame:
         if name not in self.known:
             df = self._stored(name)

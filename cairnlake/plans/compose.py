@@ -24,10 +24,14 @@ TOP_N, ANY_PROPERTY = 500, "*"
 
 
 def first_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row for each key: the least by order, then by all other columns, nulls last. Rows with a null key form one group."""
-    rest = [c for c in df.columns if c not in {key, *order}]
-    least = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in (*order, *rest)]))
-    return df.withColumn("__rn", least).where("__rn = 1").drop("__rn")
+    """One row for each key: the least by order, then by all other columns, nulls last. Rows with a null key form one group.
+
+    The least of structs is kept before the shuffle, so a key with many rows sends one from each task.
+    """
+    columns = [*order, *(c for c in df.columns if c not in {key, *order})]
+    ranked = F.struct(*[x for i, c in enumerate(columns) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    least = df.groupBy(key).agg(F.min(ranked).alias("__least"))
+    return least.select(*[F.col(key) if c == key else F.col(f"__least.v{columns.index(c)}").alias(c) for c in df.columns])
 
 
 def provider_aggregation(tables: Tables) -> DataFrame:
@@ -121,11 +125,32 @@ def newspaper_members(tables: Tables) -> DataFrame:
     return parts.join(proxy_items(tables), "k_iri").select("k_iri_cho").distinct().withColumn("x_news_partof", F.lit(True))
 
 
+def cube_parts(tables: Tables) -> dict[str, DataFrame]:
+    """What the item cube is joined from, by name: items first, then one row for each item (k_iri_cho) that has any."""
+    return {
+        "items": tables("values_edm_ProvidedCHO").select(F.col("k_iri").alias("k_iri_cho")).distinct(),
+        "provider": provider_aggregation(tables).drop("k_iri"),
+        "curator": curator_aggregation(tables).drop("k_iri"),
+        "tiers": publishing_tier(tables).withColumnRenamed("k_iri", "k_iri_cho"),
+        "primary": primary_resource(tables),
+        "type": curator_type(tables),
+        "properties": property_flags(tables),
+        "titles": title_languages(tables),
+        "entities": entity_flags(tables),
+        "resources": resource_counts(tables),
+        "newspapers": newspaper_members(tables),
+    }
+
+
 def group_items(tables: Tables) -> DataFrame:
     """The item cube, one row per object, columns in alphabetical order."""
-    parts = [provider_aggregation(tables).drop("k_iri"), curator_aggregation(tables).drop("k_iri"), publishing_tier(tables).withColumnRenamed("k_iri", "k_iri_cho"), primary_resource(tables), curator_type(tables), property_flags(tables), title_languages(tables), entity_flags(tables), resource_counts(tables), newspaper_members(tables)]
-    base = tables("values_edm_ProvidedCHO").select(F.col("k_iri").alias("k_iri_cho")).distinct()
-    j = reduce(lambda a, b: a.join(b, "k_iri_cho", "left"), parts, base)
+    return cube_of(cube_parts(tables))
+
+
+def cube_of(parts: dict[str, DataFrame]) -> DataFrame:
+    """The item cube from its parts."""
+    base, *rest = parts.values()
+    j = reduce(lambda a, b: a.join(b, "k_iri_cho", "left"), rest, base)
     no, c = (lambda name: F.coalesce(name, F.lit(False))), F.col
     out: dict[str, Column] = {
         "k_iri": c("k_iri_cho"),

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .functions import items, rights, vocab
 from .operators import aggregates as A
-from .operators import filters, graph, paths
+from .operators import filters, graph, paths, sampling
+from .plans import sketches
 from .plans.compose import first_by
 from .sources.archives import read_dump
 from .sources.rolled import write_turtle
@@ -555,6 +556,13 @@ def not_exists_pattern(s: SparkSession, d: str) -> DataFrame:
     return graph.not_exists(graph.Pattern("?c", "nation", "?n").match(t), graph.Pattern("?o", "by", "?c").match(t)).select("c")
 
 
+@query("SELECT 'customer/' || CAST(c_custkey AS VARCHAR) AS c, 'nation/' || CAST(c_nationkey AS VARCHAR) AS n, CASE WHEN c_nationkey = 3 THEN 'three' ELSE 'any' END AS tag FROM customer WHERE c_nationkey = 3 UNION ALL SELECT 'customer/' || CAST(c_custkey AS VARCHAR), 'nation/' || CAST(c_nationkey AS VARCHAR), 'seven' FROM customer WHERE c_custkey = 7")
+def inline_values(s: SparkSession, d: str) -> DataFrame:
+    """A pattern with inline data, one term of which is unbound."""
+    given = graph.values(s, ["c", "n", "tag"], [(None, "nation/3", "three"), ("customer/7", None, "seven")])
+    return graph.with_values(graph.Pattern("?c", "nation", "?n").match(_triples(s, d)), given)
+
+
 @query("SELECT count(*) AS triples FROM (SELECT 1 FROM customer UNION ALL SELECT 1 FROM nation UNION ALL SELECT 1 FROM nation UNION ALL SELECT 1 FROM region UNION ALL SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT')")
 def graph_count(s: SparkSession, d: str) -> DataFrame:
     return _triples(s, d).agg(F.count("*").alias("triples"))
@@ -575,10 +583,32 @@ def filter_dsl(s: SparkSession, d: str) -> DataFrame:
     return df.where(where).select("o_orderkey", "country")
 
 
-@query()
+@query("SELECT * FROM orders WHERE o_orderstatus = 'O' ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 20")
 def sample_rows(s: SparkSession, d: str) -> DataFrame:
-    """A sample of 20 filtered rows: the limit is the feature."""
-    return read(s, d, "orders").where("o_orderstatus = 'O'").orderBy(F.rand(7)).limit(20)
+    """A sample of 20 filtered rows by least hash: the limit is the feature."""
+    return sampling.bottom_k(read(s, d, "orders").where("o_orderstatus = 'O'"), "o_orderkey", 20)
+
+
+@query("SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY md5('a' || CAST(o_orderkey AS VARCHAR))) AS r FROM orders) WHERE r <= 3")
+def sample_by_group(s: SparkSession, d: str) -> DataFrame:
+    """Three orders of each customer by least hash, drawn from samples of two halves: the limit is the feature."""
+    orders = read(s, d, "orders").select("o_custkey", "o_orderkey")
+    halves = [sampling.bottom_k(orders.where(F.col("o_orderkey") % 2 == i), "o_orderkey", 3, ["o_custkey"], "a") for i in range(2)]
+    return sampling.bottom_k(halves[0].unionByName(halves[1]), "o_orderkey", 3, ["o_custkey"], "a")
+
+
+@query("""SELECT o_orderstatus, count(*) AS "rows", true AS distinct_within, true AS median_within FROM (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW') GROUP BY 1""")
+def sketched_orders(s: SparkSession, d: str) -> DataFrame:
+    """Sketches by status and priority, merged by status under a filter, and whether they lie within their error of exact figures (5 %; 3 % in rank)."""
+    orders = read(s, d, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+    made = sketches.Sketches.of(orders, ("o_orderstatus", "o_orderpriority"), ("o_custkey",), ("cents",))
+    told = made.estimates(("o_orderstatus",), F.col("o_orderpriority") != "5-LOW", (0.5,))
+    rows = orders.where("o_orderpriority <> '5-LOW'")
+    exact = rows.groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("n"))
+    median = told.select("o_orderstatus", F.col("q_cents")[0].alias("median"))
+    rank = rows.join(F.broadcast(median), "o_orderstatus").groupBy("o_orderstatus").agg(F.avg((F.col("cents") <= F.col("median")).cast("int")).alias("below"))
+    out = told.join(exact, "o_orderstatus").join(rank, "o_orderstatus")
+    return out.select("o_orderstatus", "rows", (F.abs(F.col("n_o_custkey") - F.col("n")) <= 0.05 * F.col("n")).alias("distinct_within"), (F.abs(F.col("below") - 0.5) <= 0.03).alias("median_within"))
 
 
 @query()

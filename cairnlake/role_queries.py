@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.filters import parse
+from .plans import buckets
 from .plans.bitmaps import FacetBitmaps
 from .plans.compose import COMPOSED
 from .plans.explorer import FACETS, Explorer
 from .plans.report import SECTIONS, enrichment_by_provider, top_outside_hosts
 from .role_sql import QUESTIONS, with_tables
 from .roles import catalog
+from .sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 D = "http://data.europeana.eu/"
@@ -57,6 +59,11 @@ def bitmap_division(s: SparkSession, d: str) -> DataFrame:
     return FacetBitmaps.build(catalog(s, d)).items(DIVISION)
 
 
+def bucketed_item_cube(s: SparkSession, d: str) -> DataFrame:
+    """The item cube from parts that are stored in buckets of the item."""
+    return buckets.bucketed_cube(buckets.store_cube_parts(catalog(s, d), fresh_path(s, "buckets"), 8))
+
+
 def explorer_labels(s: SparkSession, d: str) -> DataFrame:
     return Explorer(catalog(s, d)).label_table([f"{D}{f}/{i}" for f in ("agent", "place", "concept", "timespan", "item", "organization") for i in range(40)])
 
@@ -93,7 +100,7 @@ def queries() -> dict[str, Query]:
     out |= {f"report_{s}_{q}": _question(s, q) for s, qs in SECTIONS.items() for q in qs}
     out["report_external_links_top_outside_hosts"] = lambda s, d: top_outside_hosts(catalog(s, d), LEAST_LINKS)
     out["report_enrichment_by_data_provider"] = lambda s, d: enrichment_by_provider(catalog(s, d), LEAST_ITEMS)
-    return out | {f.__name__: f for f in (explorer_counts, explorer_cold_counts, explorer_filtered, bitmap_counts, bitmap_division, explorer_labels, report_filtered, open_items_view, sample_items_view, rights_dimension)}
+    return out | {f.__name__: f for f in (explorer_counts, explorer_cold_counts, explorer_filtered, bitmap_counts, bitmap_division, bucketed_item_cube, explorer_labels, report_filtered, open_items_view, sample_items_view, rights_dimension)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -115,6 +122,7 @@ def oracle_sql() -> dict[str, str]:
         "rights_dimension": "SELECT v_edm_rights AS uri, x_category AS reuse_level, x_family AS family, count(*) AS n FROM values_ore_Aggregation JOIN map_rights m ON m.k_iri = v_edm_rights GROUP BY 1, 2, 3",
     }
     out["bitmap_division"] = out["explorer_filtered"]
+    out["bucketed_item_cube"] = "SELECT * FROM group_items"
     return {n: with_tables(sql) for n, sql in out.items()}
 
 

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .digests import digests, listed
+
 
 def write_table(df: DataFrame, folder: str, name: str, sorted_by: Sequence[str] = ()) -> str:
     """Parquet with zstd; links_* tables by x_property, sorted tables in ranges. An empty table keeps its schema."""
@@ -34,9 +36,8 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def file_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, bytes, sha256) of the data files under a folder, hashed where they are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """(path, bytes, sha256) of the data files under a folder, of any size, hashed where they are read."""
+    return digests(listed(spark, folder, "*.parquet", recursive=True), "sha256").withColumnRenamed("length", "bytes")
 
 
 CARD_TYPES = {"string": "sc:Text", "bigint": "sc:Integer", "int": "sc:Integer", "double": "sc:Float", "boolean": "sc:Boolean", "timestamp": "sc:DateTime"}

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .digests import digests, listed
+
 TRIPLES = "s string, p string, o string, o_kind string, o_lang string, o_datatype string"
 IRI = r"<([^<>\"{}|^`\\\x00-\x20]*)>"
 LITERAL = r'"((?:[^"\\\n\r]|\\.)*)"(?:@([A-Za-z]+(?:-[A-Za-z0-9]+)*)|\^\^' + IRI + ")?"
@@ -57,11 +59,14 @@ def invalid_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def checked_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, md5, expected, matches) of files beside their .md5 files; matches is null without one."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length", "content")
-    sums = files.where(F.col("path").endswith(".md5")).select(F.regexp_replace("path", r"\.md5$", "").alias("path"), F.lower(F.regexp_extract(F.col("content").cast("string"), "([0-9A-Fa-f]{32})", 1)).alias("expected"))
-    data = files.where(~F.col("path").endswith(".md5")).select("path", "length", F.md5("content").alias("md5"))
-    return data.join(sums, "path", "left").withColumn("matches", F.col("md5") == F.col("expected"))
+    """(path, length, md5, expected, matches) of files, of any size, beside their .md5 files; matches is null without one."""
+    files = listed(spark, path)
+    sums = spark.read.format("binaryFile").option("pathGlobFilter", "*.md5").load(path).select("path", F.lower(F.regexp_extract(F.col("content").cast("string"), "([0-9A-Fa-f]{32})", 1)).alias("expected"))
+    # Readers of Spark give the same places in other ways: their names tell which file a sum is of.
+    inner = lambda c: F.regexp_replace(c, "^[a-z0-9]+:(//[^/]*)?", "")
+    sums = sums.select(F.regexp_replace(inner(F.col("path")), r"\.md5$", "").alias("of"), "expected")
+    data = digests(files.where(~F.col("path").endswith(".md5")), "md5")
+    return data.withColumn("of", inner(F.col("path"))).join(sums, "of", "left").drop("of").withColumn("matches", F.col("md5") == F.col("expected"))
 
 
 def verified(spark: SparkSession, path: str, policy: str = "strict") -> DataFrame:
