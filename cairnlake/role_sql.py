@@ -8,26 +8,32 @@ from __future__ import annotations
 
 import re
 
-from .functions import items, rights, vocab
-from .plans.compose import CLASS_FOLDER
-from .plans.report import NATURAL_HISTORY
 from .roles import SQL
 
-D = vocab.CURATED_HOST
+D = "http://data.europeana.eu/"
+CLASS_FOLDER = {"edm_Agent": "agent/", "edm_Place": "place/", "skos_Concept": "concept/", "edm_TimeSpan": "timespan/"}
 CLASSES = tuple(CLASS_FOLDER)
-CC, PD, RS = rights.CC_LICENSE, rights.CC_PUBLIC_DOMAIN, rights.RIGHTS_STATEMENTS
-OPEN = f"(starts_with(u, '{PD}') OR starts_with(u, '{CC}by/') OR starts_with(u, '{CC}by-sa/'))"
-LEVEL = f"CASE WHEN {OPEN} THEN 'open' WHEN starts_with(u, '{CC}') OR u IN ({', '.join(repr(RS + x + '/1.0/') for x in rights.RESTRICTED_STATEMENTS)}) THEN 'restricted' ELSE 'prohibited' END"
+# Expected of each rights URI in the roles' data, written out: level, family, label.
+RIGHTS = {
+    "http://creativecommons.org/publicdomain/mark/1.0/": ("open", "pdm", "Public Domain Mark"),
+    "http://creativecommons.org/publicdomain/zero/1.0/": ("open", "cc0", "Public Domain Dedication (CC0)"),
+    "http://creativecommons.org/licenses/by/4.0/": ("open", "cc-by", "Attribution (CC BY)"),
+    "http://creativecommons.org/licenses/by-sa/3.0/au/": ("open", "cc-by-sa", "Attribution-ShareAlike (CC BY-SA)"),
+    "http://creativecommons.org/licenses/by-nc/2.0/": ("restricted", "cc-by-nc", "Attribution-NonCommercial (CC BY-NC)"),
+    "http://rightsstatements.org/vocab/InC/1.0/": ("prohibited", "rs-inc", "In Copyright (RightsStatements.org)"),
+    "http://rightsstatements.org/vocab/NoC-NC/1.0/": ("restricted", "rs-noc", "No Copyright — Non-Commercial Use Only (RightsStatements.org)"),
+}
 
 
-def _cases(tool: dict[str, str], licence: dict[str, str], statement: dict[str, str]) -> str:
-    out = [f"WHEN starts_with(u, '{PD}{k}/') THEN '{v}'" for k, v in tool.items()] + [f"WHEN starts_with(u, '{CC}{k}/') THEN '{v}'" for k, v in licence.items()]
-    return " ".join(out + [f"WHEN u = '{RS}{k}/1.0/' THEN '{v}'" for k, v in statement.items()])
+def expected(uri: str, which: int, other: str) -> str:
+    return f"CASE {uri} " + " ".join(f"WHEN '{u}' THEN '{told[which]}'" for u, told in RIGHTS.items()) + f" ELSE '{other}' END"
 
 
-FAMILY = f"CASE {_cases(rights.TOOL_FAMILY, rights.LICENSE_FAMILY, rights.STATEMENT_FAMILY)} WHEN starts_with(u, '{RS}') THEN 'rs-other' ELSE 'unknown' END"
-LABEL = f"CASE {_cases(*[{k: rights.FAMILY_LABEL[v] for k, v in t.items()} for t in (rights.TOOL_FAMILY, rights.LICENSE_FAMILY, rights.STATEMENT_FAMILY)])} ELSE 'Unknown' END"
-VOCABULARY = "CASE " + " ".join(f"WHEN regexp_matches(i, '^https?://{re.escape(a)}') THEN '{n}'" for n, found in vocab.VOCABULARIES.items() for a in found) + " END"
+LEVEL, FAMILY, LABEL = expected("u", 0, "prohibited"), expected("u", 1, "unknown"), expected("u", 2, "Unknown")
+OPEN = f"({LEVEL} = 'open')"
+# Vocabularies of the IRIs in the roles' data, written out.
+VOCABULARY = r"""CASE WHEN regexp_matches(i, '^https?://vocab\.getty\.edu/aat') THEN 'aat' WHEN regexp_matches(i, '^https?://vocab\.getty\.edu/tgn/') THEN 'tgn'
+WHEN regexp_matches(i, '^https?://d-nb\.info/gnd') THEN 'gnd' WHEN regexp_matches(i, '^https?://www\.wikidata\.org/entity/') THEN 'wikidata' END"""
 SOUND = r"coalesce(regexp_matches(i, '^https?://[A-Za-z0-9.-]+/') AND NOT regexp_matches(i, '\s') AND NOT regexp_matches(i, '\$[0-9]'), false)"
 
 
@@ -59,14 +65,14 @@ COMPOSED = {
     "group_items": f"""SELECT c.k_iri, e.v_edm_country, a.v_edm_dataProvider, e.v_edm_datasetName, a.v_edm_provider, t.ty AS v_edm_type, TRY_CAST(nullif(regexp_extract(q.x_content_tier_uri, 'contentTier([0-9])$', 1), '') AS INTEGER) AS x_content_tier,
 coalesce(w.nd, 0) AS x_distinct_web_resources, coalesce(f.ag, false) AS x_has_agent_enrichment, coalesce(f.co, false) AS x_has_concept_enrichment, a.v_edm_isShownBy IS NOT NULL AS x_has_content_url, coalesce(o.cr, false) AS x_has_creator, coalesce(o.de, false) AS x_has_description,
 coalesce(a.v_edm_isShownBy IN (SELECT k_iri FROM values_edm_WebResource) AND a.v_edm_isShownBy IN (SELECT k_iri_webresource FROM values_svcs_Service), false) AS x_has_iiif, coalesce(w.np > 0, false) AS x_has_pdf, coalesce(f.pl, false) AS x_has_place_enrichment, coalesce(o.su, false) AS x_has_subject,
-coalesce(f.sc, false) AS x_has_subject_enrichment, coalesce(f.ts, false) AS x_has_time_enrichment, a.v_edm_provider IN ('{items.OPENUP_PROVIDERS[0]}', '{items.OPENUP_PROVIDERS[1]}') AS x_in_openup,
-coalesce(n.k IS NOT NULL, false) OR coalesce(f.nc, false) OR coalesce(lower(e.v_edm_datasetName) LIKE '%newspaper%', false) OR coalesce(regexp_extract(e.v_edm_datasetName, '^[^_]*') IN {items.NEWSPAPER_DATASETS}, false) AS x_is_newspaper, coalesce(f.sp, false) AS x_is_specimen,
-nullif(regexp_extract(q.x_metadata_tier_uri, 'metadataTier([0A-C])$', 1), '') AS x_metadata_tier, coalesce(w.np, 0) AS x_pdf_count, e.v_edm_language AS x_primary_language, {LEVEL.replace("u,", "a.v_edm_rights,").replace("u IN", "a.v_edm_rights IN")} AS x_reuse_level, {FAMILY.replace("(u,", "(a.v_edm_rights,").replace("WHEN u =", "WHEN a.v_edm_rights =")} AS x_rights_family, coalesce(o.tl, 0) AS x_title_languages, coalesce(w.n, 0) AS x_web_resource_count
+coalesce(f.sc, false) AS x_has_subject_enrichment, coalesce(f.ts, false) AS x_has_time_enrichment, a.v_edm_provider = 'http://data.europeana.eu/organization/1609' AS x_in_openup,
+coalesce(n.k IS NOT NULL, false) OR coalesce(f.nc, false) OR coalesce(lower(e.v_edm_datasetName) LIKE '%newspaper%', false) OR coalesce(regexp_extract(e.v_edm_datasetName, '^[^_]*') = '9200300', false) AS x_is_newspaper, coalesce(f.sp, false) AS x_is_specimen,
+nullif(regexp_extract(q.x_metadata_tier_uri, 'metadataTier([0A-C])$', 1), '') AS x_metadata_tier, coalesce(w.np, 0) AS x_pdf_count, e.v_edm_language AS x_primary_language, {expected("a.v_edm_rights", 0, "prohibited")} AS x_reuse_level, {expected("a.v_edm_rights", 1, "unknown")} AS x_rights_family, coalesce(o.tl, 0) AS x_title_languages, coalesce(w.n, 0) AS x_web_resource_count
 FROM values_edm_ProvidedCHO c LEFT JOIN (SELECT k_iri_cho, unnest(min_by(x, x.k_iri)) FROM (SELECT k_iri_cho, struct_pack(k_iri, v_edm_dataProvider, v_edm_provider, v_edm_isShownBy, v_edm_rights) AS x FROM values_ore_Aggregation) GROUP BY 1) a ON a.k_iri_cho = c.k_iri
 LEFT JOIN values_edm_EuropeanaAggregation e ON e.k_iri_cho = c.k_iri LEFT JOIN values_publishing_tier q ON q.k_iri = c.k_iri LEFT JOIN (SELECT k_iri_cho AS k, max(v_edm_type) AS ty FROM values_ore_Proxy WHERE v_edm_europeanaProxy = 'true' GROUP BY 1) t ON t.k = c.k_iri
 LEFT JOIN (SELECT k, bool_or(p = 'v_dc_creator') AS cr, bool_or(p = 'v_dc_description') AS de, bool_or(p = 'v_dc_subject') AS su, count(DISTINCT l) FILTER (p = 'v_dc_title' AND l <> '') AS tl FROM own GROUP BY 1) o ON o.k = c.k_iri
 LEFT JOIN (SELECT k_iri_cho AS k, count(*) AS n, count(DISTINCT k_iri) AS nd, count_if(v_ebucore_hasMimeType = 'application/pdf') AS np FROM values_edm_WebResource GROUP BY 1) w ON w.k = c.k_iri
-LEFT JOIN (SELECT k_iri_cho AS k, bool_or(x_entity_class = 'edm_Agent') AS ag, bool_or(x_entity_class = 'skos_Concept') AS co, bool_or(x_entity_class = 'edm_Place') AS pl, bool_or(x_entity_class = 'edm_TimeSpan') AS ts, bool_or(x_entity_class = 'skos_Concept' AND x_property = 'v_dc_subject') AS sc, bool_or(k_iri_entity = '{items.SPECIMEN_CONCEPT}') AS sp, bool_or(k_iri_entity = '{items.NEWSPAPER_CONCEPT}') AS nc FROM map_cho_entities WHERE k_iri_entity IN (SELECT k_iri_entity FROM map_entity_vocab WHERE x_is_metis) GROUP BY 1) f ON f.k = c.k_iri
+LEFT JOIN (SELECT k_iri_cho AS k, bool_or(x_entity_class = 'edm_Agent') AS ag, bool_or(x_entity_class = 'skos_Concept') AS co, bool_or(x_entity_class = 'edm_Place') AS pl, bool_or(x_entity_class = 'edm_TimeSpan') AS ts, bool_or(x_entity_class = 'skos_Concept' AND x_property = 'v_dc_subject') AS sc, bool_or(k_iri_entity = 'http://data.europeana.eu/concept/167') AS sp, bool_or(k_iri_entity = 'http://data.europeana.eu/concept/18') AS nc FROM map_cho_entities WHERE k_iri_entity IN (SELECT k_iri_entity FROM map_entity_vocab WHERE x_is_metis) GROUP BY 1) f ON f.k = c.k_iri
 LEFT JOIN (SELECT DISTINCT k_iri_cho AS k FROM links_ore_Proxy JOIN values_ore_Proxy USING (k_iri) WHERE x_property = 'v_dcterms_isPartOf' AND lower(x_value) LIKE '%europeana newspapers%') n ON n.k = c.k_iri""",
     # Blocks of the report
     "oi": "SELECT * FROM group_items WHERE x_reuse_level = 'open'",
@@ -81,7 +87,7 @@ LEFT JOIN (SELECT DISTINCT k_iri_cho AS k FROM links_ore_Proxy JOIN values_ore_P
     "dep": _all("SELECT {c!r} AS x_entity_class, k_iri AS k_iri_entity, count(DISTINCT x_prefLabel_lang) AS d FROM values_{c} WHERE x_prefLabel_lang <> '' GROUP BY 2"),
     "pdfr": "SELECT * FROM values_edm_WebResource WHERE v_ebucore_hasMimeType = 'application/pdf' AND k_iri_cho IN (SELECT k_iri FROM oi)",
     "pdfi": "SELECT * FROM oi WHERE k_iri IN (SELECT k_iri_cho FROM pdfr)",
-    "nh": "SELECT g.*, o.name FROM oi g JOIN orgs o ON o.k_iri = g.v_edm_dataProvider WHERE " + " OR ".join("lower(o.name) LIKE '{}'".format(x.replace("'", "''")) for x in NATURAL_HISTORY),
+    "nh": "SELECT g.*, o.name FROM oi g JOIN orgs o ON o.k_iri = g.v_edm_dataProvider WHERE (lower(o.name) LIKE 'naturalis biodiversity%' OR lower(o.name) LIKE '%berlin-dahlem%')",
     "sa": "SELECT * FROM map_sameAs WHERE x_well_formed AND x_metis_known",
     "imf": "SELECT k_iri, k_iri IN (SELECT k FROM own WHERE p = 'v_dc_subject') AS s, k_iri IN (SELECT k FROM cap) AS c, k_iri IN (SELECT k FROM cur) AS e FROM im",
     "imr": "SELECT * FROM values_edm_WebResource WHERE k_iri_cho IN (SELECT k_iri FROM im)",
