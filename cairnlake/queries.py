@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .functions import items, rights, vocab
 from .operators import aggregates as A
 from .operators import filters, graph, paths, sampling
+from .operators.textsearch import TextIndex
 from .plans import sketches
 from .plans.compose import first_by
 from .sources.archives import read_dump
@@ -695,3 +696,21 @@ def dump_round_trip(s: SparkSession, d: str) -> DataFrame:
     path = fresh_path(s, "dump")
     write_turtle(each.select("t.*"), path, {"v": "http://v#", "xsd": "http://www.w3.org/2001/XMLSchema#"}, roll_bytes=8 << 20)
     return read_dump(s, path).select("s", "p", "o", "o_kind", "o_lang", "o_datatype")
+
+
+WORDS = r"word AS (SELECT doc_id, w, i FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS w, generate_subscripts(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), 1) AS i FROM documents))".replace("\\\\", "\\")
+
+
+@query(f"""WITH {WORDS}, slot AS (SELECT doc_id, 'the' AS q, count(*) AS n FROM word WHERE w = 'the' GROUP BY 1 UNION ALL SELECT doc_id, 'wh*', count(*) FROM word WHERE starts_with(w, 'wh') GROUP BY 1),
+texts AS (SELECT q, count(*) AS t FROM slot GROUP BY 1)
+SELECT doc_id AS key, CAST(sum(n) AS BIGINT) AS matches, round(sum(n * ln(1 + (SELECT count(*) FROM documents) / t)), 3) AS score FROM slot JOIN texts USING (q) GROUP BY 1 HAVING count(*) = 2""")
+def text_search(s: SparkSession, d: str) -> DataFrame:
+    """Documents that have one word and one beginning of a word, from an inverted index."""
+    found = TextIndex.build(read(s, d, "documents"), "doc_id", "text", fresh_path(s, "text")).search("the wh*")
+    return found.select("key", "matches", F.round("score", 3).alias("score"))
+
+
+@query(f"WITH {WORDS} SELECT a.doc_id AS key, count(*) AS matches FROM word a JOIN word b ON a.doc_id = b.doc_id AND b.i = a.i + 1 WHERE a.w = 'of' AND b.w = 'the' GROUP BY 1")
+def text_phrase(s: SparkSession, d: str) -> DataFrame:
+    """Documents in which two words follow each other, from an inverted index."""
+    return TextIndex.build(read(s, d, "documents"), "doc_id", "text", fresh_path(s, "text")).phrase("of the")
