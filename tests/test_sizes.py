@@ -39,3 +39,8 @@ def test_map_cho_entities_is_dealt_by_size(spark, sf_dir, dealt):
 
 def test_explorer_entities_are_dealt_by_size(spark, sf_dir, dealt):
     assert by_number(catalog(spark, sf_dir)("explorer_edm_entities")).count("k_iri_entity") == 3  # the edges' two joins and the labels
+
+
+def test_facets_make_edges_once(spark, sf_dir, dealt):
+    found = plan_of(catalog(spark, sf_dir)("explorer_facet_top_n")).split("== Physical Plan ==")[1]
+    assert len(re.findall(r"37\), REPARTITION_BY_NUM", found)) == 6
