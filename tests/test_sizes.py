@@ -44,3 +44,10 @@ def test_explorer_entities_are_dealt_by_size(spark, sf_dir, dealt):
 def test_facets_make_edges_once(spark, sf_dir, dealt):
     found = plan_of(catalog(spark, sf_dir)("explorer_facet_top_n")).split("== Physical Plan ==")[1]
     assert len(re.findall(r"37\), REPARTITION_BY_NUM", found)) == 6
+
+
+def test_cube_has_the_rows_of_its_parts(spark, sf_dir, dealt):
+    t = catalog(spark, sf_dir)
+    made = t("group_items")
+    assert plan_of(made).split("== Physical Plan ==")[1].count("SortMergeJoin") < 7  # it had one more for each of ten parts
+    assert canonical(made.collect()) == canonical(compose.cube_of(compose.cube_parts(t)).collect())
