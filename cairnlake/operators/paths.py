@@ -41,7 +41,7 @@ def distances(edges: DataFrame, sources: DataFrame, depth: int | None = None, ow
     if own is None:
         with tables(spark) as made:
             return distances(edges, sources, depth, made, start)
-    kept = own.save(_edges(edges), "edges")
+    kept = own.save_by(_edges(edges), "edges", "src")
     first = sources.select("source", "node") if start else sources.select("source", F.col("source").alias("node"))
     empty = F.lit(None).cast(edges.schema["src"].dataType)
     front = own.save(first.where("node is not null").distinct().select("source", "node", F.lit(0).alias("distance"), empty.alias("before")), "reached")
@@ -114,30 +114,30 @@ def all_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame | None =
         pairs = pairs.select("source", "target").where("source is not null and target is not null").distinct()
         sources, targets = pairs.select("source").distinct(), pairs.select("target").distinct()
     with tables(edges.sparkSession) as own:
-        kept = own.save(_edges(edges), "edges")
+        kept = own.save_by(_edges(edges), "edges", "src")
         inner = Tables(own.spark)
         left = _to_targets(inner, kept, targets, depth)
         if left is not None:
-            left = own.save(left, "left")
+            left = own.save_by(left, "left", "node")
             inner.drop()
         walk = own.save(sources.select("source").where("source is not null").distinct().select("source", F.col("source").alias("node"), F.array("source").alias("path")), "walk")
         done: list[DataFrame] = []
         for at in range(1, depth + 1):
-            step = walk.withColumnRenamed("node", "src").join(kept, "src").withColumnRenamed("dst", "node")
+            step = walk.select("source", "path", F.col("node").alias("src")).join(kept, "src").withColumnRenamed("dst", "node")
             # A circle back to the source may end a path; it doesn't go on.
             step = step.where(((F.col("node") == F.col("source")) | ~F.array_contains("path", F.col("node"))) & ((F.size("path") == 1) | (F.col("path")[0] != F.element_at("path", -1))))
-            if left is not None:
-                step = step.join(left.where(F.col("left") <= depth - at).select("node"), "node", "left_semi")
-            walk_on = own.save(step.select("source", "node", F.concat("path", F.array("node")).alias("path")), "walk")
+            if left is not None:  # a node from which no step is left to the nearest target is one
+                step = step.join(left.where(F.col("left") <= depth - at).select("node", (F.col("left") == 0).alias("ends")), "node")
+            else:
+                step = step.withColumn("ends", F.lit(True))
+            walk_on = own.save(step.select("source", "node", F.concat("path", F.array("node")).alias("path"), "ends"), "walk")
             own.let_go(walk)
             walk = walk_on
             if walk.isEmpty():
                 break
-            ended = walk.select("source", F.col("node").alias("target"), "path", F.lit(at).alias("length"))
+            ended = walk.where("ends").select("source", F.col("node").alias("target"), "path", F.lit(at).alias("length"))
             if pairs is not None:
                 ended = ended.join(pairs, ["source", "target"], "left_semi")
-            elif targets is not None:
-                ended = ended.join(targets.select("target").distinct(), "target", "left_semi").select("source", "target", "path", "length")
             if per_target is not None:
                 ended = _first_paths(own, done, ended, per_target)
                 walk = _unserved(own, walk, done + [ended], targets, pairs, per_target) if targets is not None else walk

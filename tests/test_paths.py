@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cairnlake.operators import paths
 
@@ -109,3 +110,19 @@ def test_nothing_to_search(spark):
     assert paths.distances(none, frame(spark, [("a",)], "source string")).count() == 1
     assert paths.all_paths(none, frame(spark, [("a",)], "source string"), None, 3).count() == 0
     assert paths.shortest_paths(none, frame(spark, [], "source string, target string")).count() == 0
+
+
+def test_edges_are_dealt_once(spark):
+    from cairnlake.sources.scratch import tables
+
+    with tables(spark) as own:
+        edges = own.save_by(spark.createDataFrame([(i, i + 1) for i in range(30)], "src long, dst long"), "edges", "src")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            step = edges.select(edges["dst"].alias("at")).join(edges, F.col("at") == F.col("src"))
+            assert step._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1 and step.count() == 29
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        names = list(own.names.values())
+        own.drop()
+        assert not own.names and not any(spark.catalog.tableExists(n) for n in names)
