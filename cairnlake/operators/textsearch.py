@@ -1,8 +1,9 @@
 """Text search by an inverted index: all words, beginnings of words, and phrases, with scores.
 
-The index has a row for each word of a text, with its places, stored in ranges of words: a search reads
-the row groups of its words alone, by the statistics that Parquet keeps. Texts that hold all words are found by counting which of them
-each text has, so a frequent word costs its rows and no join of texts with texts.
+The index has a row for each word of a text, with its places. It is stored in segments, each of which has the words of some texts, sorted by word: a search
+reads the pages of its words alone, by the statistics that Parquet keeps. A text's words are put together in its row, so that texts are dealt out
+once and postings never. Texts that hold all words are found by counting which of them each text has, so a frequent word costs its rows and
+no join of texts with texts.
 """
 
 from __future__ import annotations
@@ -12,7 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import partitions_for
+
 WORD = r"[\p{L}\p{N}]+"
+#: Bytes of the texts' files for a segment of the index, which one task sorts in memory.
+SEGMENT = 8 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -21,13 +26,23 @@ def words_of(text: Column) -> Column:
 
 
 def postings(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, n, places) of every word of every text: how often it stands there and where, from 0. Rows of one key are one text each, told apart by nothing: give unique keys."""
-    each = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(words_of(F.col(text))).alias("place", "term"))
-    return each.groupBy("term", "key").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("place")).alias("places"))
+    """(term, key, n, places) of every word of every text: how often it stands there and where, from 0. A row is a text: give unique keys.
+
+    A text's words are sorted with their places, so that equal words stand together, and cut where another word begins: no row leaves its task.
+    """
+    each = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.sort_array(F.transform(words_of(F.col(text)), lambda w, i: F.struct(w.alias("term"), i.alias("place")))).alias("words"))
+    begins = F.transform("words", lambda w, i: F.when((i == 0) | (w["term"] != F.get("words", i - 1)["term"]), i))
+    each = each.select("key", F.array_compact(begins).alias("begins"), F.col("words.term").alias("terms"), F.col("words.place").alias("places"))
+
+    def posting(begin: Column, i: Column) -> Column:
+        n = F.coalesce(F.get("begins", i + 1), F.size("terms")) - begin
+        return F.struct(F.get("terms", begin).alias("term"), n.cast("bigint").alias("n"), F.slice("places", begin + 1, n).alias("places"))
+
+    return each.select("key", F.explode(F.transform("begins", posting)).alias("posting")).select("posting.term", "key", "posting.n", "posting.places")
 
 
 class TextIndex:
-    """An index that is stored at a path: postings in ranges of words, and for each word the number of texts that have it."""
+    """An index that is stored at a path: postings in segments of texts, and for each word the number of texts that have it."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.postings, self.terms, self.size = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/size")
@@ -35,9 +50,10 @@ class TextIndex:
     @classmethod
     def build(cls, df: DataFrame, key: str, text: str, path: str) -> TextIndex:
         spark = df.sparkSession
-        postings(df, key, text).repartitionByRange("term", "key").sortWithinPartitions("term", "key").write.parquet(f"{path}/postings")
+        dealt = df.select(key, text).repartition(partitions_for(df, each=SEGMENT), key)
+        postings(dealt, key, text).sortWithinPartitions("term", "key").write.parquet(f"{path}/postings")
         made = spark.read.parquet(f"{path}/postings")
-        made.groupBy("term").agg(F.count("*").alias("texts")).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+        made.groupBy("term").agg(F.count("*").alias("texts")).sortWithinPartitions("term").write.parquet(f"{path}/terms")
         df.where(F.col(key).isNotNull()).agg(F.count("*").alias("texts")).write.parquet(f"{path}/size")
         return cls(spark, path)
 

@@ -2,8 +2,9 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from cairnlake.operators.textsearch import TextIndex
+from cairnlake.operators.textsearch import TextIndex, postings
 
 TEXTS = {1: "The cat sat on the mat.", 2: "cats and THE dogs", 3: None, 4: "", 5: "été cat-cat x1 the cat sat", 6: "on the mat the cat the cat sat on the mat", 7: "concatenate"}
 
@@ -47,3 +48,17 @@ def test_phrase(index, query):
 def test_words_reach_the_scan(index):
     plan = index.search("the cat*")._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(term,cat)" in plan and "EqualTo(term,the)" in plan
+
+
+def test_postings_stay_in_their_tasks(spark, tmp_path):
+    """Texts are dealt out once, and each file of the index is sorted by word."""
+    df = spark.createDataFrame([(i, f"b{i % 7} a{i} the b{i % 7} c") for i in range(300)], "id long, body string")
+    made = postings(df, "id", "body")
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in made.where("key = 9").select("term", "n", F.concat_ws(" ", F.col("places").cast("array<string>"))).collect()} == {("a9", 1, "1"), ("b2", 2, "0 3"), ("c", 1, "4"), ("the", 1, "2")}
+    TextIndex.build(df, "id", "body", str(tmp_path))
+    files = {}
+    for r in spark.read.parquet(f"{tmp_path}/postings").select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "term", "key").collect():
+        files.setdefault(r["file"], []).append((r["at"], (r["term"], r["key"])))
+    assert len(files) > 1 and all([x for _, x in sorted(rows)] == sorted(x for _, x in rows) for rows in files.values())
+    assert len({f for f, rows in files.items() if any(t == "the" for _, (t, _) in rows)}) == len(files)  # a frequent word is in the segments of its texts, not in one task
