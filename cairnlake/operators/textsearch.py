@@ -90,6 +90,12 @@ class TextIndex:
         words = [w.lower() for w in query.split() if w.strip("*")]
         if not words:
             return self.postings.select("key", F.lit(0).cast("bigint").alias("matches")).where("false")
-        starts = self._found(words).select("key", "slot", F.explode("places").alias("place")).select("key", "slot", (F.col("place") - F.col("slot")).alias("start"))
-        whole = starts.groupBy("key", "start").agg(F.count_distinct("slot").alias("slots")).where(F.col("slots") == len(words))
-        return whole.groupBy("key").agg(F.count("*").alias("matches"))
+        found = self._found(words).groupBy("key").agg(F.collect_list(F.struct("slot", "places")).alias("found"))
+
+        def starts(slot: int) -> Column:
+            """Where the phrase begins if its word of this slot stands where it was found."""
+            own = F.filter("found", lambda x: x["slot"] == slot)
+            return F.transform(F.flatten(F.transform(own, lambda x: x["places"])), lambda place: place - slot)
+
+        whole = reduce(F.array_intersect, [starts(i) for i in range(len(words))])
+        return found.select("key", F.size(F.array_distinct(whole)).cast("bigint").alias("matches")).where(F.col("matches") > 0)

@@ -62,3 +62,8 @@ def test_postings_stay_in_their_tasks(spark, tmp_path):
         files.setdefault(r["file"], []).append((r["at"], (r["term"], r["key"])))
     assert len(files) > 1 and all([x for _, x in sorted(rows)] == sorted(x for _, x in rows) for rows in files.values())
     assert len({f for f, rows in files.items() if any(t == "the" for _, (t, _) in rows)}) == len(files)  # a frequent word is in the segments of its texts, not in one task
+
+
+def test_a_phrase_is_found_by_one_shuffle(index):
+    plan = index.phrase("the cat sat")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Expand" not in plan
