@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import Tables, tables
+from ..sources.scratch import Tables, partitions_for, tables
 
 #: A search without a depth ends when nothing new is reached, and fails beyond so many steps.
 STEPS = 1000
@@ -41,18 +41,21 @@ def distances(edges: DataFrame, sources: DataFrame, depth: int | None = None, ow
     if own is None:
         with tables(spark) as made:
             return distances(edges, sources, depth, made, start)
-    kept = own.save_by(_edges(edges), "edges", "src")
+    n, by = partitions_for(edges), ("source", "node")
+    kept = own.save_by(_edges(edges), "edges", "src", n=n)
     first = sources.select("source", "node") if start else sources.select("source", F.col("source").alias("node"))
     empty = F.lit(None).cast(edges.schema["src"].dataType)
-    front = own.save(first.where("node is not null").distinct().select("source", "node", F.lit(0).alias("distance"), empty.alias("before")), "reached")
+    front = own.save_by(first.where("node is not null").distinct().select("source", "node", F.lit(0).alias("distance"), empty.alias("before")), "reached", *by, n=n)
     reached, at = [front], 0
     while depth is None or at < depth:
         at += 1
         if at > STEPS:
             raise RuntimeError(f"the search did not end in {STEPS} steps")
-        step = front.select("source", F.col("node").alias("src")).join(kept, "src").groupBy("source", F.col("dst").alias("node")).agg(F.min("src").alias("before"))
-        seen, older = _together(reached).select("source", "node"), front
-        front = own.save(step.join(seen, ["source", "node"], "left_anti").select("source", "node", F.lit(at).alias("distance"), "before"), "reached")
+        step = front.select("source", F.col("node").alias("src")).join(kept, "src").select("source", F.col("dst").alias("node"), "src")
+        step, older = step.repartition(n, *by).groupBy(*by).agg(F.min("src").alias("before")), front
+        for seen in reached:  # each in buckets of the same number, so that what was reached before stays where it is
+            step = step.join(seen.select(*by), [*by], "left_anti")
+        front = own.save_by(step.select("source", "node", F.lit(at).alias("distance"), "before"), "reached", *by, n=n, dealt=True)
         if front.isEmpty():
             own.let_go(front)
             break
@@ -60,7 +63,7 @@ def distances(edges: DataFrame, sources: DataFrame, depth: int | None = None, ow
             own.let_go(older)
         reached.append(front)
         if len(reached) == TOGETHER:
-            all_of = own.save(_together(reached), "reached")
+            all_of = own.save_by(_together(reached), "reached", *by, n=n)
             own.let_go(*reached[:-1])  # the last is where the next step begins
             reached = [all_of]
     own.let_go(kept)
@@ -86,9 +89,9 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, depth: int | None = None)
     that is its own target has the path of itself.
     """
     with tables(edges.sparkSession) as own:
-        asked = pairs.select("source", "target").where("source is not null and target is not null").distinct()
+        asked = own.save(pairs.select("source", "target").where("source is not null and target is not null").distinct(), "pairs")
         inner = Tables(own.spark)
-        found = own.save(distances(edges, asked.select("source").distinct(), depth, inner), "distances")
+        found = own.save_by(distances(edges, asked.select("source").distinct(), depth, inner), "distances", "source", "node", n=partitions_for(edges))
         inner.drop()
         walk = asked.join(found.withColumnRenamed("node", "target"), ["source", "target"]).select("source", "target", "distance", F.array("target").alias("path"), F.col("before").alias("at"))
         done, walk = [], own.save(walk, "walk")
@@ -96,7 +99,7 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, depth: int | None = None)
             done.append(walk.where("at is null").drop("at"))
             back = walk.where("at is not null").join(found.select("source", F.col("node").alias("at"), "before"), ["source", "at"])
             walk = own.save(back.select("source", "target", "distance", F.concat(F.array("at"), "path").alias("path"), F.col("before").alias("at")), "walk")
-        own.let_go(found)
+        own.let_go(found, asked)
         if not done:
             return walk.drop("at")
         own.let_go(walk)

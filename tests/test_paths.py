@@ -126,3 +126,32 @@ def test_edges_are_dealt_once(spark):
         names = list(own.names.values())
         own.drop()
         assert not own.names and not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_what_was_reached_stays_where_it_is(spark, monkeypatch):
+    """A step deals out its front and its finds, a step back its walks: tables of all that was reached are not dealt again."""
+    from cairnlake.sources.scratch import Tables
+
+    plans = []
+
+    def noted(save):
+        def run(self, df, name, *args, **kw):
+            plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+            return save(self, df, name, *args, **kw)
+
+        return run
+
+    monkeypatch.setattr(Tables, "save", noted(Tables.save))
+    monkeypatch.setattr(Tables, "save_by", noted(Tables.save_by))
+    monkeypatch.setattr(paths, "TOGETHER", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chain = frame(spark, [(i, i + 1) for i in range(5)], "src int, dst int")
+        got = paths.shortest_paths(chain, frame(spark, [(0, 5)], "source int, target int"))
+        assert [(r["distance"], r["path"]) for r in got.collect()] == [(5, [0, 1, 2, 3, 4, 5])]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    steps = [p for name, p in plans if name == "reached"][1:]
+    assert len(steps) == 6 and all(p.count("Exchange") == 2 for p in steps)
+    back = [p for name, p in plans if name == "walk"][1:]
+    assert len(back) == 6 and all(p.count("Exchange") == 1 for p in back)
