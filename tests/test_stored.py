@@ -50,6 +50,22 @@ def test_a_stored_table_keeps_its_rows(spark, tmp_path):
     assert sorted(map(str, buckets.opened(spark.newSession(), str(tmp_path / "t"), "k", 3).collect())) == sorted(map(str, df.collect()))
 
 
+def test_buckets_grow_and_parts_are_dealt_once(spark, sf_dir, tmp_path, monkeypatch, no_broadcast):
+    t = catalog(spark, sf_dir)
+    monkeypatch.setattr(buckets, "BUCKET", 20_000)
+    n = buckets.buckets_for(t)
+    assert n > spark.sparkContext.defaultParallelism
+    part, seen = cube_parts(t)["type"], []
+    deal = type(part).repartition
+    monkeypatch.setattr(buckets, "cube_parts", lambda c: {"type": part})
+    monkeypatch.setattr(type(part), "repartition", lambda df, *by: seen.append(plan_of(deal(df, *by)).count("Exchange")) or deal(df, *by))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stored = buckets.store_cube_parts(t, str(tmp_path))["type"]
+    assert seen == [1] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    told = spark.sql(f"DESCRIBE EXTENDED {buckets._name(f'{tmp_path}/type')}").where("col_name = 'Num Buckets'").first()
+    assert told["data_type"] == str(n) and sorted(map(str, stored.collect())) == sorted(map(str, part.collect()))
+
+
 def test_first_by_takes_the_least(spark):
     rows = [(1, "b", 2), (1, "a", None), (1, "a", 5), (2, None, 1), (2, "z", None), (None, "q", 1), (None, "p", 9), (1, "a", 5)]
     df = spark.createDataFrame(rows, "k int, o string, x int")
