@@ -303,3 +303,22 @@ def test_line_dedup_takes_any_name(spark):
     out = linededup.drop_boilerplate(df)
     assert out.columns == ["doc_id", "source", "text", "site", "dropped", "__cl_lines", "__cl_dropped"]
     assert {(r["text"], r["site"], r["dropped"], r["__cl_lines"], r["__cl_dropped"]) for r in out.collect()} == {(f"body {i}", "b", 7, 2, 1) for i in range(30)}
+
+
+def test_hits_carry_the_words_beside_an_item(spark, monkeypatch):
+    """Texts are matched once however many items share them; Spark keeps a document's hits at once, so they go on with an item's words alone, and seeds that are dealt over tasks are never broadcast."""
+    rng = random.Random(11)
+    texts = [" ".join(f"w{n}x{rng.randrange(9)}" for _ in range(30)) for n in range(4)]
+    bench = spark.createDataFrame([(i * 10 + n, t) for i in range(3) for n, t in enumerate(texts)] + [(0, "one two three four five six"), (None, texts[1])], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, " ".join(texts * 3)), (2, "no " + texts[2]), (3, "one two three four five six"), (None, texts[1])], "doc_id bigint, text string")
+    found = []
+    for bound in (10**6, -1):
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", bound)
+        best, named = decontaminate.matched_texts(docs, bench, "doc_id", "text", "item_id", "text")
+        assert best.count() == 4 + 1 + 1 + 1 and named.count() == 3 * 4 + 2
+        plan = [x for x in best._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x or "Project" in x]
+        join = next(i for i, x in enumerate(plan) if "Join [seed#" in x)
+        assert "slice(words#" in plan[join - 1] if bound > 0 else "SortMergeJoin" in plan[join]
+        found.append(sorted(map(tuple, decontaminate.overlaps(docs, bench).collect()), key=str))
+        assert [r["doc_id"] for r in decontaminate.clean(docs, bench).collect()] == []
+    assert found[0] == found[1] and len(found[0]) == 4 * 3 + 1 + 3 + 1 + 4 + 0 and (3, 0, 6, 6, 6, 6, 0) in found[0]
