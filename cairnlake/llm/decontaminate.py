@@ -195,5 +195,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     of their own id stay. An empty table gives an empty result, an empty benchmark all rows; columns may have any names.
     """
     found, _ = matched_texts(docs, benchmark, id_col, text_col, item_col, item_text_col)
-    bad = found.select(F.col("id").alias("__cl_bad_id")).distinct()
+    # Saved, so that its size is known and documents aren't shuffled to meet a few ids.
+    bad = saved(found.select(F.col("id").alias("__cl_bad_id")).distinct(), "leaks")
     return docs.join(bad, docs[id_col].eqNullSafe(bad["__cl_bad_id"]), "left_anti")

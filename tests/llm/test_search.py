@@ -322,3 +322,10 @@ def test_hits_carry_the_words_beside_an_item(spark, monkeypatch):
         found.append(sorted(map(tuple, decontaminate.overlaps(docs, bench).collect()), key=str))
         assert [r["doc_id"] for r in decontaminate.clean(docs, bench).collect()] == []
     assert found[0] == found[1] and len(found[0]) == 4 * 3 + 1 + 3 + 1 + 4 + 0 and (3, 0, 6, 6, 6, 6, 0) in found[0]
+
+
+def test_clean_knows_how_few_leak(spark, sf_dir):
+    """Documents are not dealt by id to meet the ids of leaks."""
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    plan = decontaminate.clean(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "hashpartitioning" not in plan
