@@ -3,9 +3,13 @@
 import random
 
 import pytest
+from helpers import canonical
 from pyspark.sql import functions as F
 
 from cairnlake.plans import bitmaps
+from cairnlake.plans.compose import COUNTS, whole_cube
+from cairnlake.plans.explorer import FACETS
+from cairnlake.roles import catalog
 
 
 @pytest.fixture(scope="module")
@@ -62,3 +66,23 @@ def test_rows_meet_by_bucket(index):
     """No edge, item or cube row is read for counts; nothing is crossed."""
     plan = index[0].counts({"v_edm_type": both(["half"])})._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_cube_without_counts(spark, sf_dir):
+    """The index needs no counts of things, so no title and no resource is dealt out by its name."""
+    t = catalog(spark, sf_dir)
+    made = whole_cube(t, counts=False)
+    assert "thing" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert canonical(made.collect()) == canonical(whole_cube(t).drop(*COUNTS).collect())
+
+
+def test_build(spark, sf_dir, tmp_path):
+    """Pairs are grouped where their buckets were dealt to, not written with labels and dealt out once more."""
+    built = bitmaps.FacetBitmaps.build(catalog(spark, sf_dir), str(tmp_path))
+    assert not (tmp_path / "pairs").exists()
+    t = catalog(spark, sf_dir)
+    linked = t("explorer_edm_entities")
+    want = [(n, r["value"], r["label"], r["items"]) for n, f in FACETS.items() if f.cls for r in linked.where((F.col("x_entity_class") == f.cls) & ((F.col("x_property") == f.prop) if f.prop else F.lit(True))).groupBy(F.col("k_iri_entity").alias("value")).agg(F.min("x_label").alias("label"), F.count_distinct("k_iri_cho").alias("items")).collect()]
+    cube = t("group_items")
+    want += [("x_has_pdf", str(r[0]).lower(), str(r[0]).lower(), r[1]) for r in cube.groupBy("x_has_pdf").count().collect()] + [("v_edm_country", r[0], r[0], r[1]) for r in cube.where("v_edm_country is not null").groupBy("v_edm_country").count().collect()]
+    assert len(want) > 100 and sorted(map(tuple, built.counts(None, [*(n for n, f in FACETS.items() if f.cls), "x_has_pdf", "v_edm_country"]).collect())) == sorted(want)
