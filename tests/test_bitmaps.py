@@ -78,10 +78,10 @@ def test_cube_without_counts(spark, sf_dir):
 
 def test_build(spark, sf_dir, tmp_path):
     """Pairs are grouped where their buckets were dealt to, not written with labels and dealt out once more."""
-    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "")
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
     built = bitmaps.FacetBitmaps.build(catalog(spark, sf_dir), str(tmp_path))
     assert {p.name for p in tmp_path.iterdir()} == set(bitmaps.PARTS)  # and no table that was needed on the way
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "") == before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == before
     t = catalog(spark, sf_dir)
     linked = t("explorer_edm_entities")
     want = [(n, r["value"], r["label"], r["items"]) for n, f in FACETS.items() if f.cls for r in linked.where((F.col("x_entity_class") == f.cls) & ((F.col("x_property") == f.prop) if f.prop else F.lit(True))).groupBy(F.col("k_iri_entity").alias("value")).agg(F.min("x_label").alias("label"), F.count_distinct("k_iri_cho").alias("items")).collect()]
